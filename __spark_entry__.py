@@ -42,7 +42,7 @@ def _joined_arrays(df: DataFrame, *names: str) -> DataFrame:
 def _all_tokens(spark: SparkSession, sf: str) -> DataFrame:
     df = tokens.add_all_tokens(standin.products(spark, sf))
     names = ["categories_tokens", "main_category_tokens", "all_tokens"]
-    return _joined_arrays(df.withColumn("all_tokens", F.array_sort("all_tokens")), *names)
+    return _joined_arrays(df.withColumn("all_tokens", F.sort_array("all_tokens")), *names)
 
 
 def _clean_tokens(spark: SparkSession, sf: str) -> DataFrame:

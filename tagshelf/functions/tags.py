@@ -46,5 +46,5 @@ def in_country(tags: str | Column, country: str, match: str = "contains") -> Col
     if match == "contains":
         return column.contains(f"en:{country}")
     if match == "element":
-        return F.array_contains(F.transform(elements(column), F.trim), f"en:{country}")
+        return F.array_contains(F.transform(elements(column), lambda tag: F.trim(tag)), f"en:{country}")
     raise ValueError(f"match must be 'contains' or 'element', not {match!r}")

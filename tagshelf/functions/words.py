@@ -31,7 +31,7 @@ def hyphens_to_spaces(tokens: str | Column) -> Column:
 
 def distinct_words(tokens: str | Column) -> Column:
     """The distinct lower-case words of an array of phrases, sorted."""
-    return F.array_sort(F.array_distinct(split_words(F.lower(F.array_join(tokens, " ")))))
+    return F.sort_array(F.array_distinct(split_words(F.lower(F.array_join(tokens, " ")))))
 
 
 def without_stop_words(tokens: str | Column, stop_words: Sequence[str]) -> Column:

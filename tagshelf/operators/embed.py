@@ -1,7 +1,8 @@
 """Word vectors, and products embedded as the mean of their word vectors.
 
 A table of word vectors has the columns ``word`` (unique) and ``vector``
-(``array<double>``, all of one length).
+(``array<double>``, all of one length). It is taken to be stored: it is read
+more than once.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import norm, vector_literal
+from ..functions.vectors import norm
 from .lookup import lookup_join
 
 
@@ -62,18 +63,18 @@ def embed_rows(df: DataFrame, vectors: DataFrame, tokens: str = "tokens",
     size = vector_size(vectors)
     bags = df.select(tokens).filter(F.size(tokens) > 0).distinct()
     words = bags.select(tokens, F.explode(tokens).alias("word"))
-    found = lookup_join(words, vectors.select("word", "vector"), "word", "inner", **join_options)
-    totals = found.groupBy(tokens).agg(*[F.sum(F.col("vector")[i]).alias(f"s{i}") for i in range(size)])
+    found = lookup_join(words, vectors.select("word", "vector"), "word", "inner", stored=True, **join_options)
+    totals = found.groupBy(tokens).agg(*_element_sums(size))
     means = totals.select(tokens, _divided(size, F.size(tokens)).alias("embedding"))
     embedded = lookup_join(df, means, tokens, "left", **join_options)
-    zero = vector_literal([0.0] * size)
+    zero = F.array_repeat(F.lit(0.0), size)
     return with_norm(embedded.withColumn("embedding", F.coalesce("embedding", zero)))
 
 
 def mean_vectors(df: DataFrame, keys: list[str], size: int) -> DataFrame:
     """The mean of column ``vector`` per ``keys``, as ``vector``."""
     totals = df.groupBy(*keys).agg(F.count("vector").alias("n"),
-                                   *[F.sum(F.col("vector")[i]).alias(f"s{i}") for i in range(size)])
+                                   *_element_sums(size))
     return totals.select(*keys, _divided(size, F.col("n")).alias("vector"))
 
 
@@ -90,5 +91,10 @@ def with_norm(df: DataFrame) -> DataFrame:
     return df.withColumn("norm", norm("embedding"))
 
 
+def _element_sums(size: int) -> list[Column]:
+    return [F.expr(f"sum(vector[{i}]) as s{i}") for i in range(size)]
+
+
 def _divided(size: int, by: Column) -> Column:
-    return F.array(*[F.col(f"s{i}") / by for i in range(size)])
+    sums = F.array(*[f"s{i}" for i in range(size)])
+    return F.transform(sums, lambda total: total / by)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 from ..sources.scratch import materialize
 
-# The lookup side is broadcast up to this many bytes of its rows as text.
+# The lookup side is broadcast up to this many bytes of its rows.
 BROADCAST_BYTES = 128 * 1024 * 1024
 # A key with this many rows or more on the big side is spread over SALTS tasks.
 # At most MAX_HOT_KEYS are, the most frequent first: below them no key can hold
@@ -18,20 +19,21 @@ SALTS = 64
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner", *,
-                broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS,
-                salts: int = SALTS) -> DataFrame:
+                stored: bool = False, broadcast_bytes: int = BROADCAST_BYTES,
+                hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
     """Join ``df`` to ``lookup`` on ``key``, which is unique in ``lookup``.
 
     ``how`` is a join that decides each row of ``df`` by itself: inner, left,
     left_semi or left_anti.
 
-    ``lookup`` is written out first and its real size looked at. A small one is
-    broadcast, so the big side is not shuffled at all. Otherwise both are
-    shuffled on the key; rows of frequent keys, and rows whose key is NULL and
-    can match nothing, are spread over ``salts`` tasks.
+    ``lookup`` is written out and measured on the way, or only measured if it is
+    ``stored``, that is, cheap to read twice. A small one is broadcast, so the
+    big side is not shuffled at all. Otherwise both are shuffled on the key;
+    rows of frequent keys, and rows whose key is NULL and can match nothing, are
+    spread over ``salts`` tasks.
     """
-    lookup = materialize(lookup)
-    if row_bytes(lookup) <= broadcast_bytes:
+    lookup, size = (lookup, row_bytes(lookup)) if stored else _written(lookup)
+    if size <= broadcast_bytes:
         joined = df.join(F.broadcast(lookup), key, how)
     else:
         joined = _salted_join(df, lookup, key, how, hot_rows, salts)
@@ -47,16 +49,42 @@ def small_join(df: DataFrame, few: DataFrame, key: str, *,
     ``few`` may repeat keys. It is broadcast if its real size allows; otherwise
     the rows of its frequent keys are spread as in ``lookup_join``.
     """
-    few = materialize(few)
-    if row_bytes(few) <= broadcast_bytes:
+    few, size = _written(few)
+    if size <= broadcast_bytes:
         return df.join(F.broadcast(few), key)
     return _salted_join(few, df, key, "inner", hot_rows, salts).drop("_salt")
 
 
 def row_bytes(df: DataFrame) -> int:
-    """Size of all rows as JSON text, which is at least what they take in memory."""
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))) + F.lit(16))
-    return df.agg(size).first()[0] or 0
+    """What the rows of ``df`` take in memory, rounded up."""
+    return df.agg(_size(df)).first()[0] or 0
+
+
+def _written(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written to the shared folder, and its ``row_bytes`` seen while writing."""
+    seen = Observation()
+    table = materialize(df.observe(seen, _size(df).alias("bytes")))
+    return table, seen.get["bytes"] or 0
+
+
+def _size(df: DataFrame) -> Column:
+    return F.sum(sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(32)))
+
+
+def _width(column: Column, kind: DataType) -> Column:
+    """Bytes of one value in a row; 16 for anything of fixed width."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, ArrayType):
+        inner = kind.elementType
+        if isinstance(inner, (StringType, BinaryType, ArrayType, MapType, StructType)):
+            items = F.octet_length(F.to_json(column)) + 16 * F.size(column)
+        else:
+            items = 8 * F.size(column)
+        return F.coalesce(items, F.lit(0)) + 32
+    if isinstance(kind, (MapType, StructType)):
+        return 4 * F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)) + 64
+    return F.lit(16)
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:

@@ -52,7 +52,8 @@ def query_vectors(queries: DataFrame, vectors: DataFrame, key: str = "query_id",
     ``query_coverage`` tells which.
     """
     words = query_words(queries, key, text, lower).filter(F.col("word").isNotNull())
-    found = lookup_join(words, vectors.select("word", "vector"), "word", "inner", **join_options)
+    found = lookup_join(words, vectors.select("word", "vector"), "word", "inner",
+                        stored=True, **join_options)
     return mean_vectors(found, [key], vector_size(vectors))
 
 

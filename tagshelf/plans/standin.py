@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.english import TAG_COLUMNS
+from ..operators.filters import drop_null_rows
 from ..operators.tokens import process_tokens, vocabulary
 
 PRODUCTS = {
@@ -65,8 +67,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key, display columns and ``tokens`` of the products that have tokens."""
-    return process_tokens(products(spark, sf_dir)).filter(F.col("tokens").isNotNull())
+    """The products that have tokens, with them: those with both tag columns."""
+    return process_tokens(drop_null_rows(products(spark, sf_dir), TAG_COLUMNS))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
