@@ -49,22 +49,24 @@ def _clean_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return _joined_arrays(tokens.process_tokens(standin.products(spark, sf)), "all_tokens", "tokens")
 
 
-def _embedded(spark: SparkSession, sf: str) -> DataFrame:
-    return embed.embed_rows(standin.tokenised(spark, sf), _vectors(spark, sf))
-
-
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:
     """Word vectors, written once as they are after training."""
     return sources.materialize(standin.vectors(spark, sf))
 
 
+def _embedded(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The embedded products, and the word vectors they are made of."""
+    vectors = _vectors(spark, sf)
+    return embed.embed_rows(standin.tokenised(spark, sf), vectors), vectors
+
+
 def _long(df: DataFrame, key: str, vector: str) -> DataFrame:
     return (df.select(key, F.posexplode(vector).alias("pos", "value"))
             .withColumn("value", F.round("value", DIGITS)))
 
 
 def _embed_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return _long(_embedded(spark, sf), "url", "embedding")
+    return _long(_embedded(spark, sf)[0], "url", "embedding")
 
 
 def _word_vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,18 +104,19 @@ def _topk_similar(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _recommend(spark: SparkSession, sf: str) -> DataFrame:
-    best = search.recommend(_embedded(spark, sf), SEARCH_TEXT, _vectors(spark, sf), digits=DIGITS)
+    products, vectors = _embedded(spark, sf)
+    best = search.recommend(products, SEARCH_TEXT, vectors, digits=DIGITS)
     return best.select("url", "code", "similarity")
 
 
 def _recommend_display(spark: SparkSession, sf: str) -> DataFrame:
-    best = search.recommend_display(_embedded(spark, sf), SEARCH_TEXT.upper(), _vectors(spark, sf))
+    products, vectors = _embedded(spark, sf)
+    best = search.recommend_display(products, SEARCH_TEXT.upper(), vectors)
     return best.withColumn("similarity", F.round("similarity", DIGITS))
 
 
 def _recommend_batch(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = _vectors(spark, sf)
-    products = embed.embed_rows(standin.tokenised(spark, sf), vectors)
+    products, vectors = _embedded(spark, sf)
     return search.recommend_batch(products, standin.queries(spark, sf), vectors, lower=True, digits=DIGITS)
 
 
@@ -181,7 +184,7 @@ def queries() -> dict[str, Query]:
         "parquet_roundtrip": _parquet_roundtrip,
         "w2v_save_load": _w2v_save_load,
         # profiles
-        "preview": _on_products(profiles.preview),
+        "preview": _on_products(profiles.preview, order=["url"]),
         "schema_profile": _on_products(profiles.schema_profile),
         "null_profile": _on_products(profiles.null_profile),
         "stage_counts": _on_products(profiles.stage_counts),

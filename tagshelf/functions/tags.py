@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Matches where an element starts that is not ``<spaces>en:``. It finds the
-# offending element in place, so no array is built and the test stays in codegen.
-_NON_ENGLISH_START = r"(?:^|,)(?! *en:)"
-
 
 def elements(tags: str | Column) -> Column:
     """The elements of a tag string as an array, spaces kept as they are."""
@@ -21,8 +17,8 @@ def has_non_english(tags: str | Column) -> Column:
     A NULL string has no elements and gives False; an empty string has one
     (empty) element and gives True.
     """
-    column = F.col(tags) if isinstance(tags, str) else tags
-    return F.coalesce(column.rlike(_NON_ENGLISH_START), F.lit(False))
+    found = F.exists(elements(tags), lambda tag: ~F.trim(tag).startswith("en:"))
+    return F.coalesce(found, F.lit(False))
 
 
 def english_slugs(tags: str | Column) -> Column:

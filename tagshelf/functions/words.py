@@ -21,17 +21,13 @@ def strip(text: str | Column) -> Column:
 
 def split_words(text: str | Column) -> Column:
     """The white-space-separated words of ``text``; blank text gives an empty array."""
-    return F.filter(F.split(text, _SPACES), lambda word: word != "")
+    return F.array_remove(F.split(text, _SPACES), "")
 
 
-def hyphens_to_spaces(tokens: str | Column) -> Column:
-    """Each element with ``-`` replaced by a space."""
-    return F.transform(tokens, lambda token: F.replace(token, F.lit("-"), F.lit(" ")))
-
-
-def distinct_words(tokens: str | Column) -> Column:
-    """The distinct lower-case words of an array of phrases, sorted."""
-    return F.sort_array(F.array_distinct(split_words(F.lower(F.array_join(tokens, " ")))))
+def distinct_words(phrases: str | Column) -> Column:
+    """The distinct lower-case words of an array of phrases, sorted; a hyphen separates words."""
+    text = F.replace(F.array_join(phrases, " "), F.lit("-"), F.lit(" "))
+    return F.sort_array(F.array_distinct(split_words(F.lower(text))))
 
 
 def without_stop_words(tokens: str | Column, stop_words: Sequence[str]) -> Column:
@@ -44,11 +40,12 @@ def without_stop_words(tokens: str | Column, stop_words: Sequence[str]) -> Colum
 def ascii_name_words(name: str | Column) -> Column:
     """Words of a product name: lower case, everything but a-z and spaces deleted.
 
-    A deleted letter does not split a word: ``crème`` gives ``crme``.
+    A deleted letter does not split a word: ``crème`` gives ``crme``. Some
+    elements are empty, as spaces in a row are not merged.
     """
-    return F.split(F.regexp_replace(F.lower(name), "[^a-zA-Z ]", ""), r"\s+")
+    return F.split(F.regexp_replace(F.lower(name), "[^a-zA-Z ]+", ""), " ")
 
 
 def text_words(text: str | Column) -> Column:
     """Lower-case runs of letters and digits, repeats kept."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda word: word != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")

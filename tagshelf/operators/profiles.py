@@ -61,9 +61,9 @@ def completeness_stats(df: DataFrame) -> DataFrame:
                   F.min(c).alias("min"), F.max(c).alias("max"))
 
 
-def preview(df: DataFrame, n: int = 20, order: Sequence[str] = ("url",)) -> DataFrame:
-    """The first ``n`` rows by ``order``."""
-    return df.orderBy(*order).limit(n)
+def preview(df: DataFrame, n: int = 20, order: Sequence[str] = ()) -> DataFrame:
+    """``n`` rows: any, which reads no more than it needs, or the first by ``order``."""
+    return (df.orderBy(*order) if order else df).limit(n)
 
 
 def records(df: DataFrame, limit: int) -> list[dict]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..functions.tags import english_slugs
-from ..functions.words import distinct_words, hyphens_to_spaces, without_stop_words
+from ..functions.words import distinct_words, without_stop_words
 
 
 def add_all_tokens(df: DataFrame) -> DataFrame:
@@ -31,8 +31,7 @@ def process_tokens(df: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS
     Words are lower case, distinct and sorted; ``tokens`` leaves out stop words.
     A NULL stays NULL.
     """
-    words = distinct_words(hyphens_to_spaces("all_tokens"))
-    return (add_all_tokens(df).withColumn("all_tokens", words)
+    return (add_all_tokens(df).withColumn("all_tokens", distinct_words("all_tokens"))
             .withColumn("tokens", without_stop_words("all_tokens", stop_words)))
 
 

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
                .config("spark.sql.shuffle.partitions", "4")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session

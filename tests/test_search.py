@@ -59,7 +59,7 @@ def test_text_vector(vectors):
 numbers = st.lists(st.floats(-100, 100), min_size=3, max_size=3)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(numbers, numbers), min_size=1, max_size=20))
 def test_cosine(spark, pairs):
     df = spark.createDataFrame(pairs, "a array<double>, b array<double>")

@@ -49,7 +49,7 @@ tags = st.none() | st.lists(st.sampled_from(["en:", "fr:", " en:", ""]).flatmap(
     lambda lang: tag.map(lambda t: lang + t)), min_size=1, max_size=4).map(",".join)
 
 
-@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(tags, tags), min_size=1, max_size=30))
 def test_tokens_as_in_python(rows, data):
     got = tokens.process_tokens(rows(NAMES, data)).collect()
