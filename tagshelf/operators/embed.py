@@ -61,8 +61,8 @@ def embed_rows(df: DataFrame, vectors: DataFrame, tokens: str = "tokens",
     token list and then looked up for the rows, which are not exploded.
     """
     size = vector_size(vectors)
-    bags = df.select(tokens).filter(F.size(tokens) > 0).distinct()
-    words = bags.select(tokens, F.explode(tokens).alias("word"))
+    # explode_outer, as a plain explode adds a filter that computes the tokens again.
+    words = df.select(tokens).distinct().select(tokens, F.explode_outer(tokens).alias("word"))
     found = lookup_join(words, vectors.select("word", "vector"), "word", "inner", stored=True, **join_options)
     totals = found.groupBy(tokens).agg(*_element_sums(size))
     means = totals.select(tokens, _divided(size, F.size(tokens)).alias("embedding"))

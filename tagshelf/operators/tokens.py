@@ -37,4 +37,6 @@ def process_tokens(df: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS
 
 def vocabulary(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """The distinct tokens, as column ``word``."""
-    return df.select(F.explode(tokens).alias("word")).distinct()
+    # explode_outer, as a plain explode adds a filter that computes the tokens again.
+    words = df.select(F.explode_outer(tokens).alias("word"))
+    return words.filter(F.col("word").isNotNull()).distinct()

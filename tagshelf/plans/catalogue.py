@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..operators.columns import (drop_columns_matching, drop_columns_suffix,
@@ -13,7 +14,9 @@ from ..operators.columns import (drop_columns_matching, drop_columns_suffix,
 from ..operators.embed import embed_with_model, fit_word_model, word_vectors
 from ..operators.english import english_only
 from ..operators.filters import drop_null_rows, filter_complete, filter_country
+from ..operators.lookup import lookup_join
 from ..operators.search import recommend, recommend_batch, with_display
+from ..operators.texts import split_ingredients
 from ..operators.tokens import process_tokens
 from ..sources import (load_word_model, materialize, read_parquet, save_word_model, write_parquet)
 
@@ -72,3 +75,19 @@ def search_batch(queries: DataFrame, products_path: str, vectors_path: str, k: i
     products, vectors = read_parquet(spark, products_path), read_parquet(spark, vectors_path)
     found = recommend_batch(products, queries, vectors, k, query_key=query_key, text=text, lower=lower)
     return with_display(found, products)
+
+
+def search_ingredients(texts: DataFrame, products_path: str, vectors_path: str, k: int = 10, *,
+                       key: str, text: str = "text") -> DataFrame:
+    """``search_batch`` for each ingredient of comma-separated texts: key, ``pos``, ``ingredient``, result.
+
+    An ingredient that occurs in many texts is searched for once.
+    """
+    parts = split_ingredients(texts, key, text)
+    asked = parts.select("ingredient").distinct().select("ingredient", F.col("ingredient").alias("text"))
+    found = search_batch(asked, products_path, vectors_path, k, query_key="ingredient")
+    results = found.groupBy("ingredient").agg(
+        F.sort_array(F.collect_list(F.struct("rank", *[c for c in found.columns if c not in ("ingredient", "rank")]))
+                     ).alias("results"))
+    return lookup_join(parts, results, "ingredient", "inner").select(
+        key, "pos", "ingredient", F.inline("results"))

@@ -10,26 +10,29 @@ import os
 import tempfile
 from uuid import uuid4
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A fresh path below the session's shared folder, removed when the session's JVM ends.
+    """A fresh path in the session's own folder, which is removed when its JVM ends.
 
-    The folder is the one named by ``spark.checkpoint.dir``. Where that is unset
-    a local session falls back to the machine's temporary folder; a cluster
-    session is refused, since its executors share no such folder.
+    That folder lies in the one named by ``spark.checkpoint.dir``. Where it is
+    unset a local session falls back to the machine's temporary folder; a
+    cluster session is refused, since its executors share no such folder.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = os.path.join(tempfile.gettempdir(), "tagshelf")
-    root = f"{base.rstrip('/')}/tagshelf-{spark.sparkContext.applicationId}"
-    _remove_at_exit(spark, root)
-    return f"{root}/{uuid4().hex}"
+    folder, file_system = _session_folder(spark)
+    file_system.mkdirs(folder)
+    file_system.deleteOnExit(folder)
+    return f"{folder}/{uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of the session; tables not yet computed from them are lost."""
+    folder, file_system = _session_folder(spark)
+    file_system.delete(folder, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -39,8 +42,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _remove_at_exit(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    file_system.mkdirs(path)
-    file_system.deleteOnExit(path)
+def _session_folder(spark: SparkSession) -> tuple[JavaObject, JavaObject]:
+    base = spark.conf.get(CHECKPOINT_DIR, None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+        base = os.path.join(tempfile.gettempdir(), "tagshelf")
+    path = spark._jvm.org.apache.hadoop.fs.Path(base, f"tagshelf-{spark.sparkContext.applicationId}")
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())

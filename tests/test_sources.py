@@ -1,4 +1,5 @@
 import gzip
+import os
 
 import pytest
 
@@ -82,3 +83,18 @@ def test_from_raw_text_to_a_search(spark, rows, tmp_path, capsys):
     assert set(DISPLAY_COLUMNS) <= set(found.columns)
     alone = catalogue.search(spark, "potato soup", out["products"], out["vectors"], 4).collect()
     assert [r.url for r in found.orderBy("rank").collect()] == [r.url for r in alone]
+
+    recipes = spark.createDataFrame([("r1", "Potato, salt,JUICE"), ("r2", "juice")], "id string, text string")
+    by_part = catalogue.search_ingredients(recipes, out["products"], out["vectors"], 2, key="id")
+    assert [(r.id, r.pos, r.ingredient, r["rank"]) for r in by_part.orderBy("id", "pos", "rank").collect()] == [
+        ("r1", 0, "potato", 1), ("r1", 0, "potato", 2), ("r1", 2, "juice", 1), ("r1", 2, "juice", 2),
+        ("r2", 0, "juice", 1), ("r2", 0, "juice", 2)]
+    assert {"product_name", "similarity"} <= set(by_part.columns)
+
+
+def test_clearing_intermediate_tables(spark, rows):
+    df = sources.materialize(rows("a", [("1",)]))
+    assert df.count() == 1
+    file = df.inputFiles()[0].removeprefix("file://")
+    sources.clear_scratch(spark)
+    assert not os.path.exists(file)
