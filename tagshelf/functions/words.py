@@ -30,11 +30,13 @@ def distinct_words(phrases: str | Column) -> Column:
     return F.sort_array(F.array_distinct(split_words(F.lower(text))))
 
 
-def without_stop_words(tokens: str | Column, stop_words: Sequence[str]) -> Column:
-    """The elements of ``tokens`` that are not in ``stop_words``, order kept."""
+def without_stop_words(tokens: str, stop_words: Sequence[str]) -> Column:
+    """The elements of column ``tokens`` that are not in ``stop_words``, order kept."""
     if not stop_words:
-        return F.col(tokens) if isinstance(tokens, str) else tokens
-    return F.filter(tokens, lambda word: ~word.isin(*stop_words))
+        return F.col(tokens)
+    # As one SQL text: a literal Column per stop word takes long to build.
+    listed = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in stop_words)
+    return F.expr(f"filter(`{tokens}`, word -> word not in ({listed}))")
 
 
 def ascii_name_words(name: str | Column) -> Column:

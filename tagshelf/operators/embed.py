@@ -92,9 +92,10 @@ def with_norm(df: DataFrame) -> DataFrame:
 
 
 def _element_sums(size: int) -> list[Column]:
+    """One plain sum per element: these stay in the hash aggregate, as an array would not."""
     return [F.expr(f"sum(vector[{i}]) as s{i}") for i in range(size)]
 
 
 def _divided(size: int, by: Column) -> Column:
-    sums = F.array(*[f"s{i}" for i in range(size)])
+    sums = F.expr(f"array({', '.join(f's{i}' for i in range(size))})")
     return F.transform(sums, lambda total: total / by)

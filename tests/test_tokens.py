@@ -30,8 +30,10 @@ def test_words_of_tokens(rows):
 
 
 def test_no_stop_words(rows):
-    df = rows("w", [("the",)]).select(without_stop_words(F.array("w"), []).alias("w"))
-    assert df.first().w == ["the"]
+    df = rows("w", [("the",), ("i'll",), ("a\\b",), ("x",)]).select(F.array("w").alias("w"))
+    assert [r[0] for r in df.select(without_stop_words("w", [])).collect()] == [["the"], ["i'll"], ["a\\b"], ["x"]]
+    stops = ["i'll", "a\\b", "the"]
+    assert [r[0] for r in df.select(without_stop_words("w", stops)).collect()] == [[], [], [], ["x"]]
     assert len(ENGLISH_STOP_WORDS) == len(set(ENGLISH_STOP_WORDS)) == 181
 
 
