@@ -58,18 +58,23 @@ def drop_columns_suffix(df: DataFrame, suffixes: Sequence[str] = TIME_SUFFIXES)
     return df.drop(*[c for c in df.columns if c.endswith(tuple(suffixes))])
 
 
-def all_null_columns(df: DataFrame, probe_rows: int = 10_000) -> list[str]:
+def all_null_columns(df: DataFrame, probe_rows: int = 1_000) -> list[str]:
     """Names of the columns without a single non-null value.
 
     A value seen in the first ``probe_rows`` rows settles a column at once, so
     only columns still empty there are counted over the whole table, all in one
     pass that reads nothing but them.
     """
-    open_columns = _without_values(df.limit(probe_rows), df.columns) if probe_rows else df.columns
-    return _without_values(df, open_columns) if open_columns else []
+    present = [F.col(f"`{c}`").isNotNull() for c in df.columns]
+    seen = df.select(*present).take(probe_rows)
+    unsettled = [c for i, c in enumerate(df.columns) if not any(row[i] for row in seen)]
+    if not unsettled:
+        return []
+    counts = df.agg(*[F.count(F.col(f"`{c}`")) for c in unsettled]).first()
+    return [c for i, c in enumerate(unsettled) if counts[i] == 0]
 
 
-def drop_all_null_columns(df: DataFrame, probe_rows: int = 10_000) -> DataFrame:
+def drop_all_null_columns(df: DataFrame, probe_rows: int = 1_000) -> DataFrame:
     """Drop the columns found to hold no value."""
     return df.drop(*all_null_columns(df, probe_rows))
 
@@ -92,7 +97,3 @@ def select_display(df: DataFrame, *extra: str) -> DataFrame:
     """The columns shown for a search result, and ``extra`` ones."""
     return df.select(*DISPLAY_COLUMNS, *extra)
 
-
-def _without_values(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(str(i)) for i, c in enumerate(columns)]).first()
-    return [c for i, c in enumerate(columns) if counts[i] == 0]
