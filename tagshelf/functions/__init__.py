@@ -1 +1 @@
-"""Column expressions: every function here takes and returns a Column."""
+"""Column expressions, and the little that tasks compute with arrays (``blocks``)."""

@@ -1,5 +1,9 @@
 import math
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -161,3 +165,21 @@ def test_training_is_repeatable(spark):
     first, second = [sorted(embed.word_vectors(embed.fit_word_model(df, vector_size=4, num_partitions=1)).collect())
                      for _ in range(2)]
     assert first == second and [r.word for r in first] == ["a", "b", "c"]
+
+
+def test_tasks_need_no_installed_package(tmp_path):
+    repo = Path(__file__).resolve().parent.parent
+    script = f"""
+import sys
+sys.path.insert(0, {str(repo)!r})
+from pyspark.sql import SparkSession
+from tagshelf.operators import search
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+products = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0])], "url string, embedding array<double>")
+queries = spark.createDataFrame([(1, [0.0, 2.0])], "query_id int, vector array<double>")
+print("best", search.nearest(products, queries, 1).first().url)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True,
+                          timeout=200)
+    assert "best b" in done.stdout, done.stderr[-2000:]
