@@ -60,3 +60,11 @@ def test_hot_rows_are_spread(spark, shuffled_joins, sides):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     for key in ("hot", None):
         assert len(tasks[1, key]) == 1 < len(tasks[5, key])
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_an_empty_lookup_side(sides, way):
+    df, few = sides
+    for empty in (few.limit(0), few.filter("false"), few.filter("v = 'none'")):
+        assert lookup.lookup_join(df, empty, "key", "left_anti", **WAYS[way]).count() == df.count()
+        assert lookup.lookup_join(df, empty, "key", **WAYS[way]).count() == 0
