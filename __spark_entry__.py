@@ -17,6 +17,15 @@ from tagshelf.operators import (columns, embed, english, filters, profiles, repo
                                 tokens)
 from tagshelf.plans import standin
 
+# The training-data operators and their pipeline can be taken away as a whole.
+try:
+    import corpus_pipeline
+    from tagshelf.llm import entries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tagshelf.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The search text of the single-query searches and the digits compared.
@@ -181,6 +190,13 @@ def _w2v_save_load(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every query by name, each a function of the session and the folder of the tables."""
+    if llm is None:
+        return core_queries()
+    return {**core_queries(), **llm.queries(), "pipeline": corpus_pipeline.run}
+
+
+def core_queries() -> dict[str, Query]:
+    """The queries that need nothing of ``tagshelf.llm``."""
     return {
         # sources and sinks
         "csv_roundtrip": _csv_roundtrip,
@@ -360,7 +376,15 @@ def _stage_counts() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The SQL counterpart of each query, for DuckDB over the same tables."""
+    """The SQL counterpart of each query that has one, for DuckDB over the same tables."""
+    if llm is None:
+        return core_oracle_sql()
+    whole = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**core_oracle_sql(), **llm.oracle_sql(), **whole}
+
+
+def core_oracle_sql() -> dict[str, str]:
+    """The SQL counterpart of each of ``core_queries``."""
     display = ", ".join(columns.DISPLAY_COLUMNS)
     one = _with(f"{_EMBEDDED}, {_ONE_QUERY}, {_SIMILAR}", "{0}")
     vocabulary = f"{_P}, {_TOKENS}, vocab as (select distinct unnest(tokens) as word from tokenised)"
