@@ -96,11 +96,12 @@ def fit_url_model(labelled: DataFrame, reg: float = 0.01, max_iter: int = 50) ->
     classes = [row[0] for row in table.select("label").distinct().orderBy("label").collect()]
     if classes != [0.0, 1.0]:
         return UrlModel([0.0] * BUCKETS, 1.0 if classes == [1.0] else 0.0)
-    # Which place HashingTF gives a bucket's name, so that weights can be read by bucket.
-    names = [str(i) for i in range(BUCKETS)]
     fitted = LogisticRegression(regParam=reg, maxIter=max_iter).fit(table)
     weights = fitted.coefficients.toArray().tolist()
-    return UrlModel([weights[grams.indexOf(name)] for name in names], float(fitted.intercept))
+    # Which place HashingTF gives a bucket's name, so that weights can be read by bucket.
+    names = labelled.sparkSession.range(0, BUCKETS, 1, 1).select(F.array(F.col("id").cast("string")).alias("grams"))
+    places = [int(row.features.indices[0]) for row in grams.transform(names).orderBy(F.col("grams")[0].cast("int")).collect()]
+    return UrlModel([weights[place] for place in places], float(fitted.intercept))
 
 
 def judge_urls(urls: DataFrame, rules: Sequence[Rule], model: UrlModel) -> DataFrame:
