@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, url_filter
+from . import bpe, line_dedup, quality, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.components(table(spark, sf, "documents"), words=4, distance=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = bpe.read_ranks(spark, public_tokenizers.path(RANK_FILE))
     return bpe.digests(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
@@ -35,11 +40,18 @@ def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = bpe.read_ranks(spark, public_tokenizers.path(RANK_FILE))
+    return quality.quality(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_simhash": op1_simhash,
         "op2_bpe": op2_bpe,
         "op4_url_filter": op4_url_filter,
         "op7_line_dedup": op7_line_dedup,
+        "op9_quality": op9_quality,
     }
 
 
