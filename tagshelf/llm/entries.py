@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, quality, simhash, url_filter
+from . import bpe, line_dedup, quality, simhash, url_filter, warc
+
+from ..sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +47,21 @@ def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Lengths and digests are those of the payloads read back; a revisit has them from its header."""
+    path = scratch_path(spark)
+    warc.archive_pages(table(spark, sf, "pages"), path)
+    records = warc.read_warc(spark, path)
+    told = F.substring_index("payload_digest", ":", -1)
+    return records.select(
+        warc.page_of("record_id").alias("page_id"),
+        F.coalesce(F.octet_length("payload"), F.when(F.col("record_type") == "revisit", F.col("payload_length")),
+                   F.lit(0)).cast("long").alias("payload_bytes"),
+        F.when(F.col("record_type") == "revisit", told)
+        .otherwise(warc.base32(F.sha1(F.coalesce("payload", F.lit(b""))))).alias("payload_digest"),
+        "record_type", warc.page_of("refers_to").alias("refers_to"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
@@ -52,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op4_url_filter": op4_url_filter,
         "op7_line_dedup": op7_line_dedup,
         "op9_quality": op9_quality,
+        "op10_warc": op10_warc,
     }
 
 
