@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, quality, simhash, url_filter, warc
+from . import bpe, line_dedup, quality, simhash, toxicity, url_filter, warc
 
 from ..sources.scratch import scratch_path
 
@@ -37,6 +37,12 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.learn(docs, table(spark, sf, "labels"))
+    return toxicity.score(docs, model).withColumn("held_out", toxicity.held_out())
+
+
 def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
@@ -67,6 +73,7 @@ def queries() -> dict[str, Query]:
         "op1_simhash": op1_simhash,
         "op2_bpe": op2_bpe,
         "op4_url_filter": op4_url_filter,
+        "op6_toxicity": op6_toxicity,
         "op7_line_dedup": op7_line_dedup,
         "op9_quality": op9_quality,
         "op10_warc": op10_warc,
@@ -87,8 +94,20 @@ _LINES = """lines as (
     from keyed k left join repeated r on k.key = r.key)"""
 
 
+_FIVES = ("('0x' || substr(digest, 1 + 5 * i, 5))::bigint")
+_BASE32 = "array_to_string([" + " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({_FIVES} >> {shift}) & 31)::int + 1, 1)" for shift in (15, 10, 5, 0)
+) + " for i in range(8)], '')"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op10_warc": f"""with digests as (
+            select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as digest from pages),
+          grouped as (select *, max(page_id) over (partition by digest) as last_id from digests)
+          select page_id, payload_bytes, {_BASE32} as payload_digest,
+            case when page_id = last_id then 'response' else 'revisit' end as record_type,
+            case when page_id <> last_id then last_id end as refers_to from grouped""",
         "op7_line_dedup": f"""with {_LINES}
           select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
             sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
