@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, quality, simhash, toxicity, url_filter, warc
+from . import bpe, decontaminate, line_dedup, quality, simhash, toxicity, url_filter, warc
 
 from ..sources.scratch import scratch_path
 
@@ -31,6 +31,10 @@ def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     model = url_filter.fit_url_model(url_filter.labelled_urls(spark))
     judged = url_filter.judge_urls(table(spark, sf, "pages"), url_filter.RULES, model)
@@ -72,6 +76,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
         "op2_bpe": op2_bpe,
+        "op3_decontaminate": op3_decontaminate,
         "op4_url_filter": op4_url_filter,
         "op6_toxicity": op6_toxicity,
         "op7_line_dedup": op7_line_dedup,

@@ -49,8 +49,11 @@ STEMS = range(4, 9)
 # and in at least MIN_TOXIC of them. A document has a limited number of words, so this
 # also bounds how many candidates there are: words of a document x stems / share.
 MIN_SHARE, MIN_TOXIC = 0.004, 3
-# Learned if this many times as frequent (as a logarithm) in toxic documents.
-MIN_WEIGHT = 2.5
+# Learned if surely so much more frequent in toxic documents, as the logarithm of a ratio
+# of odds that is lowered by so many standard errors.
+MIN_WEIGHT, DOUBT = 2.5, 1.5
+# A beginning has to be in so many times as many toxic documents as any word that has it.
+SHARED = 1.5
 # At most so many entries, the heaviest first.
 MAX_ENTRIES = 20_000
 
@@ -200,13 +203,24 @@ def _lexicon(texts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
     clean.update((row.entry, row.n) for row in texts.filter("not toxic")
                  .mapInArrow(_counter(frozenset(toxic)), "entry string, n long")
                  .groupBy("entry").agg(F.sum("n").alias("n")).collect())
-    weights = {e: _odds(toxic[e], n_toxic) - _odds(clean[e], n_clean) for e in toxic}
+    # A beginning says more than a word only if several words share it.
+    of_one: Counter[str] = Counter()
+    for word in toxic:
+        if not word.endswith("*"):
+            for entry in entries_of(word)[1:]:
+                of_one[entry] = max(of_one[entry], toxic[word])
+    shared = [e for e in toxic if toxic[e] >= SHARED * of_one[e]]
+    weights = {e: _surely(toxic[e], n_toxic, clean[e], n_clean) for e in shared}
     best = sorted(((w, e) for e, w in weights.items() if w >= MIN_WEIGHT), reverse=True)[:MAX_ENTRIES]
     return {e: w for w, e in best}
 
 
-def _odds(n: int, total: int) -> float:
-    return math.log((n + 0.5) / (total - n + 0.5))
+def _surely(toxic: int, n_toxic: int, clean: int, n_clean: int) -> float:
+    """The logarithm of the odds ratio, less ``DOUBT`` times its standard error."""
+    def odds(n, total):
+        return math.log((n + 0.5) / (total - n + 0.5))
+    error = math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+    return odds(toxic, n_toxic) - odds(clean, n_clean) - DOUBT * error
 
 
 def _counter(wanted: frozenset[str] | None) -> ArrowFunction:
