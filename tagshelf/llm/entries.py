@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, quality, simhash, toxicity, url_filter, warc
+from . import (bpe, decontaminate, line_dedup, quality, simhash, substring_dedup, suffix_dedup, toxicity,
+               url_filter, warc)
 
 from ..sources.scratch import scratch_path
 
@@ -41,6 +42,11 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = substring_dedup.drop_repeated_words(table(spark, sf, "documents"), window=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = toxicity.learn(docs, table(spark, sf, "labels"))
@@ -52,6 +58,12 @@ def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op8_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_dedup.drop_repeated_bytes(table(spark, sf, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     ranks = bpe.read_ranks(spark, public_tokenizers.path(RANK_FILE))
     return quality.quality(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
@@ -78,8 +90,10 @@ def queries() -> dict[str, Query]:
         "op2_bpe": op2_bpe,
         "op3_decontaminate": op3_decontaminate,
         "op4_url_filter": op4_url_filter,
+        "op5_substring_dedup": op5_substring_dedup,
         "op6_toxicity": op6_toxicity,
         "op7_line_dedup": op7_line_dedup,
+        "op8_suffix_array": op8_suffix_array,
         "op9_quality": op9_quality,
         "op10_warc": op10_warc,
     }
