@@ -43,3 +43,11 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
     column = batch.column(batch.schema.get_field_index(name))
     for value in column.cast(pa.large_binary()):
         yield value.as_py() or b""
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -21,7 +21,7 @@ from xxhash import xxh64_intdigest
 
 from ..operators.lookup import lookup_join, row_bytes
 from ..sources.scratch import materialize
-from .common import ArrowFunction, by_value, id_and_text, texts_of, text_or_empty
+from .common import ArrowFunction, by_value, fresh, id_and_text, text_or_empty, texts_of
 
 by_value(__name__)
 
@@ -77,8 +77,9 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
 
 def drop_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without a passage of a test item, all columns as they are."""
-    bad = leaks(docs, items, threshold).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    name = fresh(docs, "leaked")
+    bad = leaks(docs, items, threshold).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
 def _kind(df: DataFrame, column: str) -> str:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.lookup import lookup_join
 from ..sources.scratch import materialize
-from .common import WHITE_SPACE, ascii_lower, text_or_empty
+from .common import WHITE_SPACE, ascii_lower, fresh, text_or_empty
 
 # Ranges that the rows of one hash are dealt over.
 CHUNKS = 256
@@ -57,23 +57,23 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3)
     becomes empty). Columns of ``docs`` other than ``doc_id`` and ``text`` pass through;
     ``n_lines`` and ``n_dropped`` are replaced if there already.
     """
-    bitmaps = line_bitmaps(docs, min_chars, min_docs).select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("dropped").alias("_dropped"))
+    doc, text_hash, dropped = (fresh(docs, name) for name in ("of_doc", "of_text", "dropped"))
+    bitmaps = line_bitmaps(docs, min_chars, min_docs).toDF(doc, text_hash, dropped)
     texts = docs.withColumn("text", text_or_empty())
-    both = texts.join(bitmaps, F.col("doc_id").eqNullSafe(F.col("_doc"))
-                      & (F.xxhash64("text") == F.col("_hash")), "left")
+    both = texts.join(bitmaps, F.col("doc_id").eqNullSafe(F.col(doc))
+                      & (F.xxhash64("text") == F.col(text_hash)), "left")
     lines = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda line, i: ~_is_dropped(i)), "\n")
-    n_dropped = F.aggregate("_dropped", F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w["bits"]))
+    kept = F.array_join(F.filter(lines, lambda line, i: ~_is_dropped(dropped, i)), "\n")
+    n_dropped = F.aggregate(dropped, F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w["bits"]))
     return (both.withColumns({"n_lines": F.size(lines).cast("long"),
                               "n_dropped": F.coalesce(n_dropped, F.lit(0).cast("long")),
-                              "text": F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(kept)})
-            .drop("_doc", "_hash", "_dropped"))
+                              "text": F.when(F.col(dropped).isNull(), F.col("text")).otherwise(kept)})
+            .drop(doc, text_hash, dropped))
 
 
-def _is_dropped(i: Column) -> Column:
+def _is_dropped(dropped: str, i: Column) -> Column:
     bit = F.pmod(i, F.lit(WORD_BITS))
-    return F.exists("_dropped", lambda w: (w["word"] == F.floor(i / WORD_BITS))
+    return F.exists(dropped, lambda w: (w["word"] == F.floor(i / WORD_BITS))
                     & (F.getbit(w["bits"], bit) == 1))
 
 

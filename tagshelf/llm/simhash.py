@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.lookup import lookup_join
 from ..sources.scratch import materialize
-from .common import ArrowFunction, by_value, id_and_text, texts_of
+from .common import ArrowFunction, by_value, fresh, id_and_text, texts_of
 
 by_value(__name__)
 
@@ -67,8 +67,9 @@ def one_of_each(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame
     their component has one.
     """
     found = components(docs, words, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = found.select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    name = fresh(docs, "kept")
+    keep = found.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 # ---- fingerprints ----------------------------------------------------------

@@ -11,6 +11,7 @@ labelled documents.
 from __future__ import annotations
 
 import math
+import operator
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from typing import NamedTuple
@@ -269,11 +270,17 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
 
     A text decides for its row: of rows of one id only those with a toxic text go.
     """
-    names = docs.columns
-    rest = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
-    schema = f"_row {rest.schema['_row'].dataType.simpleString()}, features array<double>"
-    features = rest.select("_row", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        _featurer(model.lexicon, ["_row"]), schema)
-    weights = F.array(*[F.lit(float(w)) for w in model.weights])
-    total = F.aggregate(F.zip_with("features", weights, lambda x, w: x * w), F.lit(model.intercept), lambda s, x: s + x)
-    return features.filter(total < 0).select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+    # Columns go to the tasks by place, so that their names cannot clash with anything.
+    placed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    kept = placed.mapInArrow(_rejecter(model, docs.columns.index("text")), placed.schema)
+    return kept.toDF(*docs.columns)
+
+
+def _rejecter(model: Model, at: int) -> ArrowFunction:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine, known = grammar(), {}
+        for batch in batches:
+            rows = (matched(t.decode(), model.lexicon, known, machine) for t in texts_of(batch, f"c{at}"))
+            clean = [sum(map(operator.mul, row, model.weights), model.intercept) < 0 for row in rows]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+    return run
