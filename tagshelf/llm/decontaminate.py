@@ -2,8 +2,8 @@
 
 Documents are read once for seeds: n-grams of words that a bit filter of the test
 items' n-grams lets through, which a join with those n-grams then proves. Seeds that
-many documents have say little and are left out, but an item always keeps some of its
-rarest. A document's passage around its seeds, not the document, is aligned with the
+many documents have say little and are left out, but an item always keeps the rarer
+half. A document's passage around its seeds, not the document, is aligned with the
 item, so edited and partly copied passages get a score as well.
 """
 
@@ -28,9 +28,10 @@ by_value(__name__)
 WORD = r"[\p{L}\p{M}\p{N}]+"
 # Words of a seed.
 SEED = 3
-# A seed is rare if at most this share of the documents has it. An item keeps its
-# KEPT_SEEDS rarest seeds whatever their count, so that an item copied everywhere is found.
-RARE_SHARE, KEPT_SEEDS = 1e-3, 8
+# A seed is rare if at most this share of the documents has it, or at most so many times
+# as many as have the item's median seed. So an item always keeps the rarer half of its
+# seeds, and one that is copied everywhere keeps all that come with the copies.
+RARE_SHARE, OF_MEDIAN = 1e-3, 2
 # Bits of the filter, a fixed size: it only saves rows, the join decides.
 FILTER_BITS = 1 << 24
 # Words around the outermost seeds that belong to a passage, and words without a seed
@@ -183,10 +184,10 @@ def _rare_seeds(docs: DataFrame, grams: DataFrame, passages: DataFrame) -> DataF
     seen = (passages.select("doc_id", F.explode("grams").alias("gram")).distinct()
             .groupBy("gram").agg(F.count(F.lit(1)).alias("n_docs")))
     counted = grams.join(seen, "gram", "left").fillna(0, ["n_docs"])
-    rank = Window.partitionBy("item_id").orderBy("n_docs", "gram")
-    return (counted.withColumn("rank", F.row_number().over(rank))
-            .filter((F.col("n_docs") <= RARE_SHARE * n_docs) | (F.col("rank") <= KEPT_SEEDS))
-            .withColumn("n_seeds", F.count(F.lit(1)).over(Window.partitionBy("item_id")))
+    item = Window.partitionBy("item_id")
+    return (counted.withColumn("median", F.percentile("n_docs", 0.5).over(item))
+            .filter(F.col("n_docs") <= F.greatest(F.lit(RARE_SHARE * n_docs), OF_MEDIAN * F.col("median")))
+            .withColumn("n_seeds", F.count(F.lit(1)).over(item))
             .select("gram", "item_id", "n_seeds"))
 
 
