@@ -10,17 +10,16 @@ from ..sources.scratch import materialize
 
 # The lookup side is broadcast up to this many bytes of its rows.
 BROADCAST_BYTES = 128 * 1024 * 1024
-# A key with this many rows or more on the big side is spread over SALTS tasks.
-# At most MAX_HOT_KEYS are, the most frequent first: below them no key can hold
-# more than 1/MAX_HOT_KEYS of all rows.
+# A key with this many rows or more on the big side is spread, so that no task gets more
+# than about as many of them.
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
-SALTS = 64
+# The table of frequent keys is broadcast up to this size; beyond it Spark chooses.
+HOT_TABLE_BYTES = 16 * 1024 * 1024
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner", *,
                 stored: bool = False, broadcast_bytes: int = BROADCAST_BYTES,
-                hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join ``df`` to ``lookup`` on ``key``, which is unique in ``lookup``.
 
     ``how`` is a join that decides each row of ``df`` by itself: inner, left,
@@ -28,22 +27,22 @@ def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
 
     ``lookup`` is written out and measured on the way, or only measured if it is
     ``stored``, that is, cheap to read twice. A small one is broadcast, so the
-    big side is not shuffled at all. Otherwise both are shuffled on the key;
-    rows of frequent keys, and rows whose key is NULL and can match nothing, are
-    spread over ``salts`` tasks.
+    big side is not shuffled at all. Otherwise both are shuffled on the key; a key
+    with ``hot_rows`` rows or more is spread over as many salts as that makes
+    portions of its rows, and rows whose key is NULL and can match nothing over
+    the shuffle's partitions.
     """
     lookup, size = (lookup, row_bytes(lookup)) if stored else _written(lookup)
     if size <= broadcast_bytes:
         joined = df.join(F.broadcast(lookup), key, how)
     else:
-        joined = _salted_join(df, lookup, key, how, hot_rows, salts)
+        joined = _salted_join(df, lookup, key, how, hot_rows, broadcast_bytes)
     added = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c != key]
     return joined.select(*df.columns, *added)
 
 
 def small_join(df: DataFrame, few: DataFrame, key: str, *,
-               broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS,
-               salts: int = SALTS) -> DataFrame:
+               broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Inner join of ``df``, where ``key`` is unique, with a table expected to have few rows.
 
     ``few`` may repeat keys. It is broadcast if its real size allows; otherwise
@@ -52,7 +51,7 @@ def small_join(df: DataFrame, few: DataFrame, key: str, *,
     few, size = _written(few)
     if size <= broadcast_bytes:
         return df.join(F.broadcast(few), key)
-    return _salted_join(few, df, key, "inner", hot_rows, salts).drop("_salt")
+    return _salted_join(few, df, key, "inner", hot_rows, broadcast_bytes).drop("_salt")
 
 
 def row_bytes(df: DataFrame) -> int:
@@ -88,24 +87,28 @@ def _width(column: Column, kind: DataType) -> Column:
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """The most frequent keys with at least ``hot_rows`` rows, MAX_HOT_KEYS at most."""
+    """Every key with at least ``hot_rows`` rows, and the ``_salts`` its rows are spread over.
+
+    There are at most rows / ``hot_rows`` of them.
+    """
     return (df.filter(F.col(key).isNotNull()).groupBy(key).count()
             .filter(F.col("count") >= hot_rows)
-            .orderBy(F.desc("count"), key).limit(MAX_HOT_KEYS)
-            .select(key, F.lit(True).alias("_hot")))
+            .select(key, F.ceil(F.col("count") / hot_rows).alias("_salts")))
 
 
 def _salted_join(df: DataFrame, lookup: DataFrame, key: str, how: str,
-                 hot_rows: int, salts: int) -> DataFrame:
-    hot = F.broadcast(materialize(hot_keys(df, key, hot_rows)))
-    # The salt depends on the task alone, so a task that runs again after a loss
-    # sends its rows to the same places; and full copies of a row still spread.
-    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
+                 hot_rows: int, broadcast_bytes: int) -> DataFrame:
+    hot, size = _written(hot_keys(df, key, hot_rows))
+    if size <= broadcast_bytes or size <= HOT_TABLE_BYTES:
+        hot = F.broadcast(hot)
+    # The salt depends on the task alone, so a task that runs again after a loss sends its
+    # rows to the same places; and full copies of a row still spread. A task's own rows of
+    # a key stay together: they are no more than one task has read.
+    nulls = F.lit(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salts = F.when(F.col(key).isNull(), nulls).otherwise(F.coalesce("_salts", F.lit(1))).cast("int")
     left = (df.join(hot, key, "left")
-            .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(0))
-            .drop("_hot"))
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+            .withColumn("_salt", F.pmod(F.spark_partition_id(), salts)).drop("_salts"))
     right = (lookup.join(hot, key, "left")
-             .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-             .drop("_hot"))
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)).cast("int") - 1)))
+             .drop("_salts"))
     return left.join(right, [key, "_salt"], how)

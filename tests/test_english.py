@@ -6,7 +6,7 @@ from tagshelf.operators import english
 
 NAMES = "code main_category categories_tags"
 # Everything by broadcast; and by shuffle, with every key taken for a frequent one.
-PATHS = [{}, {"broadcast_bytes": -1}, {"broadcast_bytes": -1, "hot_rows": 1, "salts": 3}]
+PATHS = [{}, {"broadcast_bytes": -1}, {"broadcast_bytes": -1, "hot_rows": 1}]
 
 
 def plain(data):

@@ -7,7 +7,7 @@ import pytest
 from tagshelf.operators import lookup
 
 WAYS = {"broadcast": {}, "shuffled": {"broadcast_bytes": -1},
-        "salted": {"broadcast_bytes": -1, "hot_rows": 20, "salts": 5}}
+        "salted": {"broadcast_bytes": -1, "hot_rows": 20}}
 
 
 @pytest.fixture(scope="module")
@@ -43,23 +43,40 @@ def test_small_join(shuffled_joins, sides, way):
 
 
 def test_hot_keys(sides):
-    assert [r.key for r in lookup.hot_keys(sides[0], "key", 40).orderBy("key").collect()] == ["hot", "warm"]
+    found = {r.key: r._salts for r in lookup.hot_keys(sides[0], "key", 40).collect()}
+    assert found == {"hot": 4, "warm": 1}
 
 
-def test_hot_rows_are_spread(spark, shuffled_joins, sides):
-    """With salts no task joins all rows of the frequent key, nor all without a key."""
-    df, few = sides
+def portions(spark, df, few, hot_rows):
+    """Rows of each key by the task that joins them."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
     try:
-        tasks = {}
-        for salts in (1, 5):
-            joined = lookup.lookup_join(df, few, "key", "left", broadcast_bytes=-1, hot_rows=20, salts=salts)
-            for row in joined.selectExpr("key", "spark_partition_id() as task").distinct().collect():
-                tasks.setdefault((salts, row.key), set()).add(row.task)
+        joined = lookup.lookup_join(df, few, "key", "left", broadcast_bytes=-1, hot_rows=hot_rows)
+        counts = joined.selectExpr("key", "spark_partition_id() as task").groupBy("key", "task").count().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    for key in ("hot", None):
-        assert len(tasks[1, key]) == 1 < len(tasks[5, key])
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    tasks = {}
+    for row in counts:
+        tasks.setdefault(row.key, []).append(row["count"])
+    return tasks
+
+
+def test_hot_rows_are_spread(spark, shuffled_joins, sides):
+    """No task joins more than a few portions of a frequent key's rows, nor all without a key."""
+    df, few = sides
+    whole, spread = (portions(spark, df, few, n) for n in (1_000, 10))
+    assert len(whole["hot"]) == len(whole["warm"]) == 1
+    assert max(spread["hot"]) <= 50 and len(spread["hot"]) >= 4
+    assert len(spread["warm"]) >= 2 and len(whole[None]) > 3
+
+
+def test_more_hot_keys_than_a_thousand_are_all_spread(spark, shuffled_joins):
+    df = spark.range(1_100 * 12).selectExpr("concat('k', id % 1100) as key", "id as n").repartition(6)
+    few = spark.range(1_100).selectExpr("concat('k', id) as key", "id as v")
+    tasks = portions(spark, df, few, 2)
+    assert len(tasks) == 1_100 and all(sum(t) == 12 and len(t) > 1 for t in tasks.values())
 
 
 @pytest.mark.parametrize("way", WAYS)
