@@ -24,10 +24,14 @@ def split_words(text: str | Column) -> Column:
     return F.array_remove(F.split(text, _SPACES), "")
 
 
+def spaced(text: str | Column) -> Column:
+    """``text`` with a space for each hyphen."""
+    return F.replace(text, F.lit("-"), F.lit(" "))
+
+
 def distinct_words(phrases: str | Column) -> Column:
     """The distinct lower-case words of an array of phrases, sorted; a hyphen separates words."""
-    text = F.replace(F.array_join(phrases, " "), F.lit("-"), F.lit(" "))
-    return F.sort_array(F.array_distinct(split_words(F.lower(text))))
+    return F.sort_array(F.array_distinct(split_words(F.lower(spaced(F.array_join(phrases, " "))))))
 
 
 def without_stop_words(tokens: str, stop_words: Sequence[str]) -> Column:

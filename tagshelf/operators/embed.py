@@ -15,20 +15,26 @@ from pyspark.sql import functions as F
 from ..functions.vectors import norm
 from .lookup import lookup_join
 
+# Tasks that train word vectors, whatever the cluster.
+NUM_PARTITIONS = 16
+
 
 def fit_word_model(df: DataFrame, tokens: str = "tokens", *, vector_size: int = 100,
                    min_count: int = 1, window_size: int = 5, max_iter: int = 1,
                    step_size: float = 0.025, seed: int = 42,
-                   num_partitions: int | None = None) -> Word2VecModel:
+                   num_partitions: int = NUM_PARTITIONS) -> Word2VecModel:
     """Train Spark ML's Word2Vec on the ``tokens`` of ``df``.
 
-    Training runs in ``num_partitions`` tasks (one per core of the cluster by
-    default; 1 trains everything in one task, the same way on every run). The
-    vocabulary and its vectors pass through the driver, so on a large catalogue
-    raise ``min_count`` to keep rare words out.
+    Training runs in ``num_partitions`` tasks, whose vectors are averaged, so the
+    number is part of the result: it is fixed and follows no setting of the
+    cluster. What one number and one seed give repeats only for the same rows in
+    the same input partitions. A caller with more cores may raise it, and
+    ``max_iter`` with it, since each pass sees a smaller share of the rows.
+
+    The driver holds the whole vocabulary of words with ``min_count`` rows, and
+    its vectors: 8 bytes x ``vector_size`` per word and a few copies of it, about
+    3 GB for a million words of 100. Raise ``min_count`` where that is too much.
     """
-    if num_partitions is None:
-        num_partitions = df.sparkSession.sparkContext.defaultParallelism
     trainer = Word2Vec(inputCol=tokens, outputCol="embedding", vectorSize=vector_size,
                        minCount=min_count, windowSize=window_size, maxIter=max_iter,
                        stepSize=step_size, seed=seed, numPartitions=num_partitions)
@@ -45,6 +51,8 @@ def embed_with_model(df: DataFrame, model: Word2VecModel, tokens: str = "tokens"
 
     The sum of the known words' vectors is divided by the number of all tokens.
     A row with NULL tokens counts as one without tokens and gets a zero vector.
+    Spark ML broadcasts the whole vocabulary for it, whatever its size; for a
+    large one use ``embed_rows`` with the stored ``word_vectors``.
     """
     applied = model.copy().setInputCol("_tokens").setOutputCol("_embedding")
     filled = df.withColumn("_tokens", F.coalesce(tokens, F.array().cast("array<string>")))

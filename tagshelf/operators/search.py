@@ -19,14 +19,16 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.blocks import block_scorer, unit_rows
 from ..functions.vectors import cosine, percent_text, vector_literal
-from ..functions.words import split_words
+from ..functions.words import spaced, split_words
 from ..sources.scratch import materialize, scratch_path
 from .columns import DISPLAY_COLUMNS, select_display
 from .embed import mean_vectors, vector_size
 from .lookup import lookup_join, small_join
 
-# Queries compared in one pass over the products; the most that is broadcast.
-QUERY_BLOCK = 8_192
+# Bytes of query vectors compared in one pass over the products; the most that is broadcast.
+BLOCK_BYTES = 64 * 1024 * 1024
+# Digits of a similarity that count when products are ranked.
+DIGITS = 6
 # Tasks that first merge the candidates of one query.
 MERGE_BUCKETS = 64
 
@@ -36,29 +38,35 @@ class UnknownWordsError(ValueError):
 
 
 def query_words(queries: DataFrame, key: str = "query_id", text: str = "text",
-                lower: bool = False) -> DataFrame:
-    """One row per word of each query, repeats kept; a blank query keeps one row with a NULL word."""
+                lower: bool = True, split_hyphens: bool = False) -> DataFrame:
+    """One row per word of each query, repeats kept; a blank query keeps one row with a NULL word.
+
+    ``split_hyphens`` makes words of the parts of a hyphenated one, as tokens are split.
+    """
     source = F.lower(text) if lower else F.col(text)
+    source = spaced(source) if split_hyphens else source
     return queries.select(key, F.explode_outer(split_words(source)).alias("word"))
 
 
 def query_vectors(queries: DataFrame, vectors: DataFrame, key: str = "query_id",
-                  text: str = "text", lower: bool = False, **join_options: int) -> DataFrame:
+                  text: str = "text", lower: bool = True, split_hyphens: bool = False,
+                  **join_options: int) -> DataFrame:
     """The mean vector of the known words of each query, as ``key``, ``vector``.
 
     A repeated word counts each time. Queries without a known word have no row;
     ``query_coverage`` tells which.
     """
-    words = query_words(queries, key, text, lower).filter(F.col("word").isNotNull())
+    words = query_words(queries, key, text, lower, split_hyphens).filter(F.col("word").isNotNull())
     found = lookup_join(words, vectors.select("word", "vector"), "word", "inner",
                         stored=True, **join_options)
     return mean_vectors(found, [key], vector_size(vectors))
 
 
 def query_coverage(queries: DataFrame, vocab: DataFrame, key: str = "query_id",
-                   text: str = "text", lower: bool = False, **join_options: int) -> DataFrame:
+                   text: str = "text", lower: bool = True, split_hyphens: bool = False,
+                   **join_options: int) -> DataFrame:
     """How many words of each query are in ``vocab`` (column ``word``, unique) and how many are not."""
-    words = query_words(queries, key, text, lower)
+    words = query_words(queries, key, text, lower, split_hyphens)
     marked = lookup_join(words, vocab.select("word", F.lit(True).alias("known")), "word", "left",
                          **join_options)
     has_word = F.col("word").isNotNull()
@@ -67,11 +75,12 @@ def query_coverage(queries: DataFrame, vocab: DataFrame, key: str = "query_id",
         F.count_if(has_word & F.col("known").isNull()).alias("unknown_words"))
 
 
-def text_vector(text: str, vectors: DataFrame, lower: bool = False) -> list[float]:
+def text_vector(text: str, vectors: DataFrame, lower: bool = True, split_hyphens: bool = False) -> list[float]:
     """The mean vector of the known words of one query, found in a single job.
 
     Raises ``UnknownWordsError`` where there is none.
     """
+    text = text.replace("-", " ") if split_hyphens else text
     words = (text.lower() if lower else text).split()
     rows = vectors.filter(F.col("word").isin(list(set(words)))).select("word", "vector").collect()
     known = {row["word"]: row["vector"] for row in rows}
@@ -81,7 +90,7 @@ def text_vector(text: str, vectors: DataFrame, lower: bool = False) -> list[floa
     return np.mean(found, axis=0).tolist()
 
 
-def cosine_similarity(df: DataFrame, query: Sequence[float], digits: int | None = None) -> DataFrame:
+def cosine_similarity(df: DataFrame, query: Sequence[float], digits: int | None = DIGITS) -> DataFrame:
     """Add ``similarity`` to the vector ``query``, rounded to ``digits`` if given."""
     length = "norm" if "norm" in df.columns else None
     query_length = F.lit(float(np.linalg.norm(query)))
@@ -90,83 +99,104 @@ def cosine_similarity(df: DataFrame, query: Sequence[float], digits: int | None
 
 
 def top_similar(df: DataFrame, query: Sequence[float], k: int = 10, key: str = "url",
-                digits: int | None = None) -> DataFrame:
-    """The ``k`` rows most similar to the vector ``query``; equals go by ``key``."""
-    scored = cosine_similarity(df.filter(F.col("embedding").isNotNull()), query, digits)
-    return scored.orderBy(*_best_first(key)).limit(k)
+                digits: int | None = DIGITS) -> DataFrame:
+    """The ``k`` rows most similar to the vector ``query``; equals go by ``key``.
+
+    Rows without an embedding, or with one whose similarity is no number, are left out.
+    ``digits=None`` ranks by every bit, the last of which depend on the order of sums.
+    """
+    return _best(cosine_similarity(df.filter(F.col("embedding").isNotNull()), query, digits), k, key)
 
 
 def recommend(products: DataFrame, text: str, vectors: DataFrame, k: int = 10, *,
-              key: str = "url", lower: bool = False, digits: int | None = None) -> DataFrame:
+              key: str = "url", lower: bool = True, split_hyphens: bool = False,
+              digits: int | None = DIGITS) -> DataFrame:
     """The ``k`` products most similar to the words of ``text``, with all their columns."""
-    return top_similar(products, text_vector(text, vectors, lower), k, key, digits)
+    return top_similar(products, text_vector(text, vectors, lower, split_hyphens), k, key, digits)
 
 
 def recommend_display(products: DataFrame, text: str, vectors: DataFrame, k: int = 10,
-                      digits: int | None = None) -> DataFrame:
-    """``recommend`` as shown to people: the query in lower case, display columns, a percentage."""
-    best = recommend(products, text, vectors, k, lower=True, digits=digits)
-    return select_display(best, "similarity").withColumn("similarity_text", percent_text("similarity"))
+                      digits: int | None = DIGITS) -> DataFrame:
+    """``recommend`` as shown to people: the query in lower case, display columns, and a
+    percentage, of the similarity before it is rounded."""
+    query = text_vector(text, vectors)
+    exact = cosine_similarity(products.filter(F.col("embedding").isNotNull()), query, None)
+    shown = exact.withColumn("similarity_text", percent_text("similarity"))
+    if digits is not None:
+        shown = shown.withColumn("similarity", F.round("similarity", digits))
+    return select_display(_best(shown, k, "url"), "similarity", "similarity_text")
 
 
 def recommend_batch(products: DataFrame, queries: DataFrame, vectors: DataFrame, k: int = 10, *,
                     key: str = "url", query_key: str = "query_id", text: str = "text",
-                    lower: bool = False, digits: int = 6) -> DataFrame:
+                    lower: bool = True, split_hyphens: bool = False, digits: int = DIGITS) -> DataFrame:
     """``recommend`` for a whole table of queries: see ``nearest`` for the result."""
-    return nearest(products, query_vectors(queries, vectors, query_key, text, lower), k,
+    return nearest(products, query_vectors(queries, vectors, query_key, text, lower, split_hyphens), k,
                    key=key, query_key=query_key, digits=digits)
 
 
 def nearest(products: DataFrame, queries: DataFrame, k: int = 10, *, key: str = "url",
-            query_key: str = "query_id", digits: int = 6, block: int = QUERY_BLOCK) -> DataFrame:
+            query_key: str = "query_id", digits: int = DIGITS, block: int | None = None) -> DataFrame:
     """The ``k`` products nearest to each query vector: query key, ``rank``, key, ``similarity``.
 
-    ``queries`` has a unique ``query_key`` and ``vector``. Up to ``block``
-    queries are broadcast at a time. Each task multiplies batches of embeddings
-    with them and hands on ``k`` products per query and batch, never all pairs.
-    Those are merged per query in two steps, so no task sees the candidates of
-    all tasks. Similarities are rounded to ``digits`` before they are ranked,
-    since the last bits depend on how a batch was cut.
+    ``queries`` has a unique ``query_key`` and ``vector``. Blocks of query vectors are
+    broadcast, of ``BLOCK_BYTES`` or of ``block`` queries. Each task multiplies
+    batches of embeddings with one block and hands on ``k`` products per query and
+    batch, never all pairs. Those are merged per query in two steps, so no task sees
+    the candidates of all tasks. Similarities are rounded to ``digits`` before they are
+    ranked, since the last bits depend on how a batch was cut. Similarities that are no
+    numbers are left out.
+
+    The query vectors are computed in the call. One block is then searched when the
+    result is read; several are searched in the call, one pass over the products each,
+    and their results, at most ``k`` rows a query, are written to the shared folder.
     """
-    usable = products.filter(F.col("embedding").isNotNull()).select(key, "embedding")
-    scored = _candidates(usable, materialize(queries.select(query_key, "vector")), k, digits, block)
-    return _best_per_query(scored, query_key, key, k)
+    finite = F.forall("embedding", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    usable = products.filter(finite).select(key, "embedding")
+    return _search(usable, materialize(queries.select(query_key, "vector")), k, digits, block)
 
 
 def with_display(results: DataFrame, products: DataFrame, key: str = "url") -> DataFrame:
     """Add the display columns of the products to search results."""
-    shown = products.select(*DISPLAY_COLUMNS)
+    shown = products.select(*dict.fromkeys([key, *DISPLAY_COLUMNS]))
     added = [c for c in shown.columns if c not in results.columns]
     return small_join(shown, results, key).select(*results.columns, *added)
 
 
+def _best(scored: DataFrame, k: int, key: str) -> DataFrame:
+    return scored.filter(~F.isnan("similarity")).orderBy(*_best_first(key)).limit(k)
+
+
 def _best_first(key: str) -> list[Column]:
     return [F.desc("similarity"), F.asc(key)]
 
 
-def _candidates(products: DataFrame, queries: DataFrame, k: int, digits: int, block: int) -> DataFrame:
+def _search(products: DataFrame, queries: DataFrame, k: int, digits: int, block: int | None) -> DataFrame:
     spark = products.sparkSession
     query_field, _ = queries.schema.fields
-    schema = StructType([query_field, products.schema[0], StructField("similarity", DoubleType())])
+    key_field = products.schema[0]
+    schema = StructType([query_field, key_field, StructField("similarity", DoubleType())])
 
-    def score(rows: Sequence) -> tuple[DataFrame, Broadcast]:
+    def best(rows: Sequence) -> tuple[DataFrame, Broadcast]:
         ids = pa.array([row[0] for row in rows], to_arrow_type(query_field.dataType))
         sent = spark.sparkContext.broadcast((ids, unit_rows(np.array([row[1] for row in rows]))))
-        return products.mapInArrow(block_scorer(sent, k, digits, schema.names), schema), sent
-
-    blocks = _blocks(queries.toLocalIterator(), block)
-    first = next(blocks, None)
-    if first is None:
-        return spark.createDataFrame([], schema)
-    second = next(blocks, None)
+        scored = products.mapInArrow(block_scorer(sent, k, digits, schema.names), schema)
+        return _best_per_query(scored, query_field.name, key_field.name, k), sent
+
+    rows = queries.toLocalIterator()
+    head = list(islice(rows, 1))
+    if not head:
+        return _best_per_query(spark.createDataFrame([], schema), query_field.name, key_field.name, k)
+    blocks = _blocks(chain(head, rows), block or max(1, BLOCK_BYTES // (8 * max(1, len(head[0][1])))))
+    first, second = next(blocks), next(blocks, None)
     if second is None:
-        return score(first)[0]
+        return best(first)[0]
     path = scratch_path(spark)
-    for rows in chain([first, second], blocks):
-        scored, sent = score(rows)
-        scored.write.mode("append").parquet(path)
+    for part in chain([first, second], blocks):
+        found, sent = best(part)
+        found.write.mode("append").parquet(path)
         sent.destroy()
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def _blocks(rows: Iterable, size: int) -> Iterator[list]:

@@ -16,7 +16,7 @@ from tagshelf.functions.vectors import cosine
 from tagshelf.operators import embed, search
 from tagshelf.operators.columns import DISPLAY_COLUMNS
 
-PATHS = [{}, {"broadcast_bytes": -1, "hot_rows": 2, "salts": 3}]
+PATHS = [{}, {"broadcast_bytes": -1, "hot_rows": 2}]
 
 
 @pytest.fixture(scope="module")
@@ -46,7 +46,7 @@ def test_query_vectors(shuffled_joins, spark, vectors, options):
         [(1, "  Potato potato chip zzz "), (2, "zzz"), (3, " "), (4, None)], "query_id long, text string")
     lower = search.query_vectors(queries, vectors, lower=True, **options).collect()
     assert [(r.query_id, r.vector) for r in lower] == [(1, pytest.approx([2 / 3, 1 / 3]))]
-    exact = search.query_vectors(queries, vectors, **options).collect()
+    exact = search.query_vectors(queries, vectors, lower=False, **options).collect()
     assert [(r.query_id, r.vector) for r in exact] == [(1, pytest.approx([0.5, 0.5]))]
     covered = search.query_coverage(queries, vectors, lower=True, **options).orderBy("query_id").collect()
     assert [tuple(r) for r in covered] == [(1, 3, 1), (2, 0, 1), (3, 0, 0), (4, 0, 0)]
@@ -57,9 +57,42 @@ def test_text_vector(vectors):
     assert search.text_vector("POTATO", vectors, lower=True) == [1.0, 0.0]
     for text in ("POTATO", "", "x' or '1'='1", "potato'"):
         with pytest.raises(search.UnknownWordsError):
-            search.text_vector(text, vectors)
+            search.text_vector(text, vectors, lower=False)
+
+
+def test_one_query_and_many_are_treated_alike(spark, vectors):
+    asked = spark.createDataFrame([(1, "Potato-CHIP")], "query_id int, text string")
+    with pytest.raises(search.UnknownWordsError):
+        search.text_vector("Potato-CHIP", vectors)
+    assert search.query_vectors(asked, vectors).count() == 0
+    assert search.text_vector("Potato-CHIP", vectors, split_hyphens=True) == [0.5, 0.5]
+    assert search.query_vectors(asked, vectors, split_hyphens=True).first().vector == [0.5, 0.5]
+    assert search.query_coverage(asked, vectors, split_hyphens=True).first().known_words == 2
+
+
+def test_what_is_no_number_is_left_out(spark):
+    data = [("a", [1.0, 0.0]), ("b", [float("nan"), 1.0]), ("c", None), ("d", [1.0, 1.0])]
+    df = embed.with_norm(spark.createDataFrame(data, "code string, embedding array<double>"))
+    assert [r.code for r in search.top_similar(df, [1.0, 0.0], 4, key="code").collect()] == ["a", "d"]
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, vector array<double>")
+    found = search.nearest(df, asked, 4, key="code")
+    assert [r.code for r in found.orderBy("rank").collect()] == ["a", "d"]
+    for name in DISPLAY_COLUMNS:
+        df = df.withColumn(name, F.lit(name))
+    assert {r.code for r in search.with_display(found, df, key="code").collect()} == {"a", "d"}
+
+
+def test_several_blocks_write_k_rows_a_query(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(search, "scratch_path", lambda s: written.append(real(s)) or written[-1])
+    df = spark.range(600).selectExpr("cast(id as string) as url", "array(cos(id), sin(id)) as embedding").repartition(8)
+    asked = spark.range(20).selectExpr("id as query_id", "array(cos(id / 7), sin(id / 7)) as vector")
+    found = search.nearest(df, asked, 3, block=7)
+    assert spark.read.parquet(written[-1]).count() == 60
+    assert sorted(found.collect()) == sorted(search.nearest(df, asked, 3).collect())
 
 
+real = search.scratch_path
 numbers = st.lists(st.floats(-100, 100), min_size=3, max_size=3)
 
 
@@ -167,6 +200,37 @@ def test_training_is_repeatable(spark):
     assert first == second and [r.word for r in first] == ["a", "b", "c"]
 
 
+def test_training_does_not_depend_on_the_cluster(monkeypatch, spark):
+    asked = []
+
+    class Trainer:
+        def __init__(self, **settings):
+            asked.append(settings["numPartitions"])
+
+        def fit(self, df):
+            return None
+
+    monkeypatch.setattr(embed, "Word2Vec", Trainer)
+    df = spark.createDataFrame([(["a"],)], "tokens array<string>")
+    for cores in (2, 4):
+        monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", cores, raising=False)
+        embed.fit_word_model(df)
+    assert asked == [embed.NUM_PARTITIONS] * 2
+
+
+def test_training_at_the_default_finds_topics(spark):
+    chance = random.Random(1)
+    data = [([f"t{t}w{chance.randrange(10)}" for _ in range(6)],) for t in range(20) for _ in range(200)]
+    chance.shuffle(data)
+    df = spark.createDataFrame(data, "tokens array<string>").repartition(4)
+    table = {r.word: np.array(r.vector) for r in
+             embed.word_vectors(embed.fit_word_model(df, vector_size=20, max_iter=5)).collect()}
+    words, units = list(table), np.array([v / np.linalg.norm(v) for v in table.values()])
+    similar = units @ units.T - 2 * np.eye(len(words))
+    nearest = [words[i] for i in similar.argmax(axis=1)]
+    assert np.mean([w.split("w")[0] == n.split("w")[0] for w, n in zip(words, nearest)]) > 0.95
+
+
 def test_tasks_need_no_installed_package(tmp_path):
     repo = Path(__file__).resolve().parent.parent
     script = f"""
