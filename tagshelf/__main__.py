@@ -1,4 +1,4 @@
-"""``python -m tagshelf build|search``: the batch job and a single search from the command line."""
+"""``python -m tagshelf build|search|search-batch``: the batch job and searches from the command line."""
 
 from __future__ import annotations
 
@@ -6,8 +6,10 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from .plans.catalogue import build, prepare, search
-from .sources import read_delimited
+from .operators.embed import NUM_PARTITIONS
+from .operators.search import UnknownWordsError
+from .plans.catalogue import build, prepare, search, search_batch
+from .sources import read_delimited, write_delimited
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -18,27 +20,50 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("input", help="delimited text with a header, plain or gzip")
     job.add_argument("--sep", default="\t")
     job.add_argument("--quote", default='"')
+    job.add_argument("--escape", default='"', help="what stands before a quote inside a field")
+    job.add_argument("--multi-line", action="store_true", help="fields may hold line breaks; one task reads a file")
+    job.add_argument("--min-partitions", type=int, help="tasks to spread the cleaned rows over; for few gzip files")
+    job.add_argument("--drop-empty", action="store_true", help="drop the columns found empty, not a fixed list")
     job.add_argument("--country", default="fr")
     job.add_argument("--threshold", type=float, default=0.5)
     job.add_argument("--train", action="store_true", help="train the model instead of loading it")
+    job.add_argument("--min-count", type=int, default=1, help="rows a word needs to be trained")
+    job.add_argument("--num-partitions", type=int, default=NUM_PARTITIONS, help="tasks that train")
+    job.add_argument("--max-iter", type=int, default=1, help="passes of the training")
     job.add_argument("--model", required=True)
 
     query = commands.add_parser("search", help="show the products most similar to a text")
     query.add_argument("text")
     query.add_argument("--limit", type=int, default=10)
 
-    for command in (job, query):
+    batch = commands.add_parser("search-batch", help="search for every text of a file and write the results")
+    batch.add_argument("queries", help="delimited text with the columns query_id and text")
+    batch.add_argument("output", help="folder for the results, delimited text")
+    batch.add_argument("--sep", default="\t")
+    batch.add_argument("--limit", type=int, default=10)
+
+    for command in (job, query, batch):
         command.add_argument("--products", required=True, help="embedded products (Parquet)")
         command.add_argument("--vectors", required=True, help="word vectors (Parquet)")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tagshelf").getOrCreate()
     if args.command == "build":
-        raw = read_delimited(spark, args.input, args.sep, quote=args.quote)
-        build(prepare(raw, args.country, args.threshold), args.model, args.products,
-              args.vectors, train=args.train)
+        raw = read_delimited(spark, args.input, args.sep, quote=args.quote, escape=args.escape,
+                             multi_line=args.multi_line)
+        prepared = prepare(raw, args.country, args.threshold, drop_empty=args.drop_empty,
+                           min_partitions=args.min_partitions)
+        training = {"min_count": args.min_count, "num_partitions": args.num_partitions, "max_iter": args.max_iter}
+        build(prepared, args.model, args.products, args.vectors, train=args.train, **training)
+    elif args.command == "search":
+        try:
+            found = search(spark, args.text, args.products, args.vectors, args.limit)
+        except UnknownWordsError as unknown:
+            raise SystemExit(f"tagshelf: {unknown}") from None
+        found.show(args.limit, truncate=False)
     else:
-        search(spark, args.text, args.products, args.vectors, args.limit).show(args.limit, truncate=False)
+        queries = read_delimited(spark, args.queries, args.sep).select("query_id", "text")
+        write_delimited(search_batch(queries, args.products, args.vectors, args.limit), args.output, args.sep)
 
 
 if __name__ == "__main__":

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH_STOP_WORDS
-from ..operators.columns import (drop_columns_matching, drop_columns_suffix,
+from ..operators.columns import (drop_all_null_columns, drop_columns_matching, drop_columns_suffix,
                                  drop_null_columns_fixed, drop_unused_columns, with_completeness)
-from ..operators.embed import embed_with_model, fit_word_model, word_vectors
+from ..operators.embed import embed_rows, fit_word_model, word_vectors
 from ..operators.english import english_only
 from ..operators.filters import drop_null_rows, filter_complete, filter_country
 from ..operators.lookup import lookup_join
@@ -22,27 +22,33 @@ from ..sources import (load_word_model, materialize, read_parquet, save_word_mod
 
 
 def clean(raw: DataFrame, country: str = "fr", threshold: float = 0.5, *,
-          match: str = "contains", drop_times: bool = False) -> DataFrame:
+          match: str = "contains", drop_times: bool = False, drop_empty: bool = False) -> DataFrame:
     """Choose the rows and columns worth searching, everything that needs no join.
 
     The country filter comes first, since the columns dropped include the ones it reads.
+    ``drop_empty`` drops the columns found to hold no value, instead of a fixed list of
+    them; that looks at the data in the call.
     """
     df = filter_country(raw, country, match)
     if drop_times:
         df = drop_columns_suffix(df)
-    df = drop_unused_columns(drop_columns_matching(drop_null_columns_fixed(df)))
+    df = drop_all_null_columns(df) if drop_empty else drop_null_columns_fixed(df)
+    df = drop_unused_columns(drop_columns_matching(df))
     return drop_null_rows(filter_complete(with_completeness(df), threshold))
 
 
 def prepare(raw: DataFrame, country: str = "fr", threshold: float = 0.5, *,
-            match: str = "contains", drop_times: bool = False,
-            stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> DataFrame:
+            match: str = "contains", drop_times: bool = False, drop_empty: bool = False,
+            stop_words: Sequence[str] = ENGLISH_STOP_WORDS, min_partitions: int | None = None) -> DataFrame:
     """``clean``, then only English products, with their ``tokens``.
 
     The cleaned rows are written once to the shared folder: the English-only
-    step reads them twice, and the raw text should be parsed once.
+    step reads them twice, and the raw text should be parsed once. They are spread
+    over ``min_partitions`` tasks if given, which is for input that few tasks can
+    read: what is left by then are the rows and columns worth moving.
     """
-    cleaned = materialize(clean(raw, country, threshold, match=match, drop_times=drop_times))
+    cleaned = clean(raw, country, threshold, match=match, drop_times=drop_times, drop_empty=drop_empty)
+    cleaned = materialize(cleaned.repartition(min_partitions) if min_partitions else cleaned)
     return process_tokens(english_only(cleaned), stop_words)
 
 
@@ -51,29 +57,38 @@ def build(prepared: DataFrame, model_path: str, products_path: str, vectors_path
     """Embed prepared products and write them as Parquet, with the word vectors beside them.
 
     The model is loaded from ``model_path``, or trained on the products and
-    saved there first.
+    saved there first; ``training`` is what ``fit_word_model`` takes, which says
+    what the driver has to hold. The products are embedded by joining the vectors
+    just written, which are broadcast only if they are measured to be small.
     """
+    prepared = materialize(prepared)
     if train:
-        prepared = materialize(prepared)
         save_word_model(fit_word_model(prepared, **training), model_path)
     model = load_word_model(model_path)
     write_parquet(word_vectors(model), vectors_path)
-    write_parquet(embed_with_model(prepared, model), products_path)
+    vectors = read_parquet(prepared.sparkSession, vectors_path)
+    write_parquet(embed_rows(prepared, vectors), products_path)
     return model
 
 
 def search(spark: SparkSession, text: str, products_path: str, vectors_path: str,
-           k: int = 10) -> DataFrame:
-    """The ``k`` products most similar to ``text`` from what ``build`` wrote."""
-    return recommend(read_parquet(spark, products_path), text, read_parquet(spark, vectors_path), k)
+           k: int = 10, *, lower: bool = True, split_hyphens: bool = True) -> DataFrame:
+    """The ``k`` products most similar to ``text`` from what ``build`` wrote.
+
+    By default the text is treated as tokens are: in lower case, split at hyphens.
+    """
+    return recommend(read_parquet(spark, products_path), text, read_parquet(spark, vectors_path), k,
+                     lower=lower, split_hyphens=split_hyphens)
 
 
 def search_batch(queries: DataFrame, products_path: str, vectors_path: str, k: int = 10, *,
-                 query_key: str = "query_id", text: str = "text", lower: bool = True) -> DataFrame:
+                 query_key: str = "query_id", text: str = "text", lower: bool = True,
+                 split_hyphens: bool = True) -> DataFrame:
     """``search`` for a table of queries, with the display columns."""
     spark = queries.sparkSession
     products, vectors = read_parquet(spark, products_path), read_parquet(spark, vectors_path)
-    found = recommend_batch(products, queries, vectors, k, query_key=query_key, text=text, lower=lower)
+    found = recommend_batch(products, queries, vectors, k, query_key=query_key, text=text, lower=lower,
+                            split_hyphens=split_hyphens)
     return with_display(found, products)
 
 

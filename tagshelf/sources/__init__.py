@@ -1,7 +1,7 @@
 from .readers import read_delimited, read_parquet
-from .scratch import clear_scratch, materialize, scratch_path
+from .scratch import clear_scratch, drop_scratch, materialize, scratch_path
 from .sinks import load_word_model, save_word_model, write_delimited, write_parquet
 
 __all__ = ["read_delimited", "read_parquet", "write_delimited", "write_parquet",
            "save_word_model", "load_word_model", "materialize", "scratch_path",
-           "clear_scratch"]
+           "clear_scratch", "drop_scratch"]

@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], sep: str = "\t", *,
-                   quote: str = '"', escape: str = "\\", multi_line: bool = False,
+                   quote: str = '"', escape: str = '"', multi_line: bool = False,
                    columns: list[str] | None = None,
                    min_partitions: int | None = None) -> DataFrame:
     """Read delimited text with a header row; every column is a string.
 
     Gzip is recognised by the file name. A gzip file cannot be split, so each is
     read by one task: give ``min_partitions`` to spread the rows right after the
-    scan when there are fewer files than that.
+    scan when there are fewer files than that. Where a filter follows, it is less
+    work to spread what it leaves.
+
+    A quote inside a field is doubled, as ``write_delimited`` does it; dumps that put
+    a backslash before it need ``escape="\\\\"``.
 
     A field that opens with an unbalanced quote swallows the separators after
     it; pass ``quote=""`` for dumps that do not quote. Fields with line breaks

@@ -42,11 +42,29 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(table: DataFrame) -> None:
+    """Remove the one intermediate table that ``materialize`` returned."""
+    spark = table.sparkSession
+    folder, file_system = _session_folder(spark)
+    for path in {spark._jvm.org.apache.hadoop.fs.Path(file).getParent() for file in table.inputFiles()}:
+        if path.getParent().getName() != folder.getName():
+            raise ValueError(f"{path} is no intermediate table of this session")
+        file_system.delete(path, True)
+
+
 def _session_folder(spark: SparkSession) -> tuple[JavaObject, JavaObject]:
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = os.path.join(tempfile.gettempdir(), "tagshelf")
+    base = _base_folder(spark.conf.get(CHECKPOINT_DIR, None), spark.sparkContext.master)
     path = spark._jvm.org.apache.hadoop.fs.Path(base, f"tagshelf-{spark.sparkContext.applicationId}")
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _base_folder(configured: str | None, master: str) -> str:
+    """The configured folder. Only ``local`` and ``local[...]`` may do without one.
+
+    That all executors share the folder is taken on trust: a ``file:`` path may be a mount.
+    """
+    if configured:
+        return configured
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+    return os.path.join(tempfile.gettempdir(), "tagshelf")

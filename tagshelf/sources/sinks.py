@@ -7,14 +7,20 @@ from pyspark.sql import DataFrame
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", *, quote: str = '"',
-                    escape: str = "\\", compression: str | None = None) -> None:
+                    escape: str = '"', compression: str | None = None,
+                    keep_spaces: bool = True, empty_value: str = '""') -> None:
     """Write delimited text with a header row, replacing what is at ``path``.
 
-    As Spark does by default, spaces around a value are not kept, and an empty
-    value reads back as NULL.
+    A quote inside a value is doubled, and ``read_delimited`` with its own defaults
+    reads back what was written, but that an empty value and NULL are one to Spark's
+    reader: both come back as NULL. Values with line breaks come back if the file is
+    read with ``multi_line=True``. ``keep_spaces=False`` drops blanks around values;
+    ``empty_value`` is what stands for an empty one.
     """
     writer = (df.write.mode("overwrite").option("header", True).option("sep", sep)
-              .option("quote", quote).option("escape", escape))
+              .option("quote", quote).option("escape", escape).option("emptyValue", empty_value)
+              .option("ignoreLeadingWhiteSpace", not keep_spaces)
+              .option("ignoreTrailingWhiteSpace", not keep_spaces))
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)

@@ -6,7 +6,7 @@ import __spark_entry__ as entries
 import pytest
 
 from tagshelf.operators import embed, english, filters, lookup, reports, search
-from tagshelf.plans import standin
+from tagshelf.plans import catalogue, standin
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -63,6 +63,19 @@ def test_embedding_does_not_shuffle_the_wide_rows(embedded):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
+def test_build_broadcasts_only_what_was_measured(spark, stored, tmp_path, monkeypatch, shuffled_joins):
+    """With a limit of nothing, no table of vectors or means is broadcast."""
+    texts = []
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(embed, "lookup_join", lambda *a, **b: lookup.lookup_join(*a, **{**b, "broadcast_bytes": -1}))
+    monkeypatch.setattr(catalogue, "write_parquet", lambda df, path: texts.append(plan(df)) or df.write.parquet(path))
+    catalogue.build(stored, *[str(tmp_path / n) for n in ("m", "p", "v")], train=True, vector_size=4)
+    assert "BroadcastHashJoin" in texts[-1]  # of the few frequent keys
+    assert "Python" not in texts[-1] and "UDF" not in texts[-1]
+    # The means, which are written before they are joined, meet the rows in a shuffle.
+    assert re.search(r"(SortMerge|ShuffledHash)Join \[tokens#\d+, _salt#\d+", texts[-1])
+
+
 def test_reports_read_one_column_and_count_before_the_shuffle(stored):
     text = plan(reports.top_name_words(stored))
     assert "ReadSchema: struct<product_name:string>" in text

@@ -29,13 +29,37 @@ def test_unbalanced_quotes(spark, tmp_path):
 
 
 def test_text_round_trip(spark, rows, tmp_path):
-    df = rows("a b", [('q"uo\\te', "line\nbreak, comma"), (None, ""), (" blank ", "é")])
+    data = [('q"uo\\te', "line\nbreak, comma"), (None, ""), (" blank ", "é"), ("\\", '"'), ('""', "a\tb")]
+    df = rows("a b", data)
     path = str(tmp_path / "out")
     for _ in range(2):  # the second run replaces the first
-        sources.write_delimited(df, path, escape='"')
-    back = sources.read_delimited(spark, path, ",", escape='"', multi_line=True)
-    assert sorted((tuple(r) for r in back.collect()), key=repr) == sorted(
-        [('q"uo\\te', "line\nbreak, comma"), (None, None), ("blank", "é")], key=repr)
+        sources.write_delimited(df, path)
+    back = sources.read_delimited(spark, path, ",", multi_line=True)
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(
+        [(a or None, b or None) for a, b in data], key=repr)
+    one_line = df.filter("b not like 'line%' or b is null")
+    sources.write_delimited(one_line, path)
+    assert sources.read_delimited(spark, path, ",").count() == 4
+    sources.write_delimited(one_line.filter("a = ' blank '"), path, keep_spaces=False)
+    assert sources.read_delimited(spark, path, ",").first().a == "blank"
+
+
+def test_scratch_folder_is_only_guessed_for_a_local_session():
+    from tagshelf.sources.scratch import _base_folder
+    assert _base_folder("hdfs://x/y", "yarn") == "hdfs://x/y"
+    assert _base_folder(None, "local") == _base_folder("", "local[8]")
+    for master in ("local-cluster[2,1,1024]", "spark://somewhere:7077", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            _base_folder(None, master)
+
+
+def test_dropping_one_intermediate_table(spark, rows):
+    one, two = (sources.materialize(rows("a", [("1",)])) for _ in range(2))
+    path = one.inputFiles()[0].removeprefix("file://")
+    sources.drop_scratch(one)
+    assert not os.path.exists(path) and two.count() == 1
+    with pytest.raises(ValueError):
+        sources.drop_scratch(spark.read.parquet("/root/testdata/sf0.001/region.parquet"))
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster():
@@ -64,7 +88,7 @@ def test_from_raw_text_to_a_search(spark, rows, tmp_path, capsys):
     raw, out = str(tmp_path / "raw"), {n: str(tmp_path / n) for n in ("model", "products", "vectors")}
     sources.write_delimited(rows(names, data), raw, "\t", compression="gzip")
     files = [f"--products={out['products']}", f"--vectors={out['vectors']}"]
-    main(["build", raw, "--train", f"--model={out['model']}", *files])
+    main(["build", raw, "--train", "--min-partitions=3", "--drop-empty", f"--model={out['model']}", *files])
 
     products = sources.read_parquet(spark, out["products"])
     assert products.count() == 32
@@ -74,8 +98,14 @@ def test_from_raw_text_to_a_search(spark, rows, tmp_path, capsys):
 
     best = catalogue.search(spark, "juice", out["products"], out["vectors"], 5)
     assert best.count() == 5 and best.first().similarity <= 1 + 1e-9
-    main(["search", "potato", "--limit", "3", *files])
+    main(["search", "Potato", "--limit", "3", *files])
     assert "similarity" in capsys.readouterr().out
+    with pytest.raises(SystemExit, match="no word of"):
+        main(["search", "unheard", *files])
+    asked, results = str(tmp_path / "asked"), str(tmp_path / "results")
+    sources.write_delimited(rows("query_id text", [("1", "potato-soup"), ("2", "juice")]), asked, "\t")
+    main(["search-batch", asked, results, "--limit", "2", *files])
+    assert sources.read_delimited(spark, results).groupBy("query_id").count().filter("count = 2").count() == 2
 
     queries = spark.createDataFrame([(1, "POTATO soup"), (2, "unheard-of")], "query_id int, text string")
     found = catalogue.search_batch(queries, out["products"], out["vectors"], 4)
