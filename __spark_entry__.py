@@ -6,7 +6,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -83,7 +83,13 @@ def _embed_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _word_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return _long(standin.vectors(spark, sf), "word", "vector")
+    """The vectors of a saved model as the operator gives them, against the file they are saved in."""
+    path = sources.scratch_path(spark)
+    sources.save_word_model(_trained(spark, sf)[1], path)
+    saved = spark.read.parquet(f"{path}/data").select("word", F.col("vector").cast("array<double>").alias("saved"))
+    got = embed.word_vectors(sources.load_word_model(path))
+    return got.join(saved, "word", "full").select(
+        "word", F.coalesce(F.col("vector") == F.col("saved"), F.lit(False)).alias("same"), _non_zero("vector"))
 
 
 def _query_vector(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,14 +150,14 @@ def _split_ingredients(spark: SparkSession, sf: str) -> DataFrame:
 
 def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = sources.scratch_path(spark)
-    sources.write_delimited(standin.products(spark, sf), path, escape='"')
-    return sources.read_delimited(spark, path, ",", escape='"', multi_line=True)
+    sources.write_delimited(standin.products(spark, sf), path)
+    return sources.read_delimited(spark, path, ",", multi_line=True)
 
 
 def _csv_gzip_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = sources.scratch_path(spark)
-    sources.write_delimited(standin.products(spark, sf), path, "\t", escape='"', compression="gzip")
-    return sources.read_delimited(spark, path, "\t", escape='"', multi_line=True,
+    sources.write_delimited(standin.products(spark, sf), path, "\t", compression="gzip")
+    return sources.read_delimited(spark, path, "\t", multi_line=True,
                                   min_partitions=spark.sparkContext.defaultParallelism)
 
 
@@ -166,17 +172,24 @@ def _trained(spark: SparkSession, sf: str) -> tuple[DataFrame, object]:
     return df, embed.fit_word_model(df)
 
 
-def _vector_sizes(df: DataFrame, key: str, vector: str) -> DataFrame:
-    return df.select(key, F.size(vector).cast("bigint").alias("n_values"),
-                     F.forall(vector, lambda x: ~F.isnan(x)).alias("all_numbers"))
+def _non_zero(vector: str) -> Column:
+    return F.exists(vector, lambda x: ~F.isnan(x) & (x != 0)).alias("non_zero")
 
 
 def _w2v_fit_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return _vector_sizes(embed.word_vectors(_trained(spark, sf)[1]), "word", "vector")
+    vectors = embed.word_vectors(_trained(spark, sf)[1])
+    return vectors.select("word", F.size("vector").cast("bigint").alias("n_values"), _non_zero("vector"))
 
 
 def _w2v_transform(spark: SparkSession, sf: str) -> DataFrame:
-    return _vector_sizes(embed.embed_with_model(*_trained(spark, sf)), "url", "embedding")
+    """The model's own embedding against the join with its vectors."""
+    df, model = _trained(spark, sf)
+    joined = embed.embed_rows(df, sources.materialize(embed.word_vectors(model)))
+    both = embed.embed_with_model(df, model).select("url", "embedding").join(
+        joined.select("url", F.col("embedding").alias("joined")), "url", "full")
+    close = F.forall(F.zip_with("embedding", "joined", lambda x, y: F.abs(x - y) < 1e-6), lambda x: x)
+    return both.select("url", F.size("embedding").cast("bigint").alias("n_values"),
+                       F.coalesce(close, F.lit(False)).alias("agrees"), _non_zero("embedding"))
 
 
 def _w2v_save_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -353,10 +366,8 @@ def _per_column(select: Callable[[int, str], str]) -> str:
 
 
 def _as_written_to_text() -> str:
-    """Values as they come back from text: outer blanks gone, empty ones NULL."""
-    fields = ", ".join(f"""nullif(regexp_replace("{c}", '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g'), '') as "{c}\""""
-                       for c in standin.PRODUCTS)
-    return _with(_P, f"select {fields} from products")
+    """Values as they come back from text: empty ones are NULL."""
+    return _with(_P, "select " + ", ".join(f"""nullif("{c}", '') as "{c}\"""" for c in standin.PRODUCTS) + " from products")
 
 
 def _stage_counts() -> str:
@@ -446,10 +457,10 @@ def core_oracle_sql() -> dict[str, str]:
         "clean_tokens": _with(f"{_P}, {_TOKENS}", """select url, array_to_string(words, '|') as all_tokens,
             array_to_string(tokens, '|') as tokens from tokenised"""),
 
-        "w2v_fit_vectors": _with(vocabulary, "select word, 100::bigint as n_values, true as all_numbers from vocab"),
-        "w2v_transform": _with(f"{_P}, {_TOKENS}", "select url, 100::bigint as n_values, true as all_numbers"
-                                                   " from tokenised where tokens is not null"),
-        "word_vectors": _with(_VECTORS, "select word, pos::int as pos, round(value, 6) as value from vector_items"),
+        "w2v_fit_vectors": _with(vocabulary, "select word, 100::bigint as n_values, true as non_zero from vocab"),
+        "w2v_transform": _with(f"{_P}, {_TOKENS}", "select url, 100::bigint as n_values, true as agrees,"
+                                                   " len(tokens) > 0 as non_zero from tokenised where tokens is not null"),
+        "word_vectors": _with(vocabulary, "select word, true as same, true as non_zero from vocab"),
         "embed_rows": _with(_EMBEDDED, "select url, pos::int as pos, round(value, 6) as value from embedded"),
         "query_vector": _with(f"{_VECTORS}, {_QUERY_VECTORS}",
                               "select query_id, pos::int as pos, round(value, 6) as value from query_vectors"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.tags import in_country
 from .columns import NUTRITION_PART, split_columns, with_completeness
 from .english import english_only
 from .filters import REQUIRED_COLUMNS, filter_complete, drop_null_rows
@@ -35,22 +36,23 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"))
 
 
-def stage_counts(df: DataFrame, country: str = "fr", threshold: float = 0.5) -> DataFrame:
+def stage_counts(df: DataFrame, country: str = "fr", threshold: float = 0.5, *,
+                 match: str = "contains") -> DataFrame:
     """Rows left after each cleaning step, in order.
 
     The steps that look at one row at a time are counted together in one pass;
     the last one needs the join of ``english_only``.
     """
     scored = with_completeness(df)
-    in_country = F.coalesce(F.col("countries_tags").contains(f"en:{country}"), F.lit(False))
-    complete = in_country & (F.col("completeness") > threshold)
+    chosen = F.coalesce(in_country(F.col("countries_tags"), country, match), F.lit(False))
+    complete = chosen & (F.col("completeness") > threshold)
     filled = complete
     for column in REQUIRED_COLUMNS:
         filled = filled & F.col(column).isNotNull()
-    steps = {"all": F.lit(True), "country": in_country, "complete": complete, "filled": filled}
+    steps = {"all": F.lit(True), "country": chosen, "complete": complete, "filled": filled}
     counts = scored.agg(*[F.count_if(test).alias(f"c{i}") for i, test in enumerate(steps.values())])
     by_row = _long(counts, list(steps), "stage", "rows")
-    english = english_only(drop_null_rows(filter_complete(scored.filter(in_country), threshold)))
+    english = english_only(drop_null_rows(filter_complete(scored.filter(chosen), threshold)))
     return by_row.unionByName(row_count(english).select(F.lit("english").alias("stage"), "rows"))
 
 
