@@ -25,9 +25,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize
 from .common import ArrowFunction, by_value, text_or_empty, texts_of
 
 by_value(__name__)
@@ -68,15 +70,21 @@ class Spans(NamedTuple):
 Compare = Callable[[Spans], np.ndarray]
 
 
+# Everything that is joined to the texts takes all these columns and meets them by ``doc``
+# alone, so Spark finds the exchanges of the texts equal and shuffles them once.
+ROW = ("doc_id", "doc", "row", "text")
+
+
 def rows_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc, row, text) dealt out by document; ``row`` tells apart rows of one id."""
+    """The columns ``ROW``; ``row`` tells apart rows of one id."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     return (docs.select("doc_id", doc.alias("doc"), text_or_empty().alias("text"))
-            .withColumn("row", F.xxhash64("text")).repartition("doc"))
+            .select("doc_id", "doc", F.xxhash64("text").alias("row"), "text"))
 
 
 def repeated_windows(rows: DataFrame, alphabet: Alphabet, compare: Compare, *, whole: Column, worth: Column) -> DataFrame:
-    """(doc, row, ranges array<struct<start, windows>>): the windows of each document to go.
+    """(doc, gone array<struct<row, ranges>>): the windows of each document to go, as ranges
+    array<struct<start, windows>> for each of its rows, in any order and number.
 
     ``whole`` is a condition on ``doc`` (of a run), ``least`` and ``n`` (smallest document and
     count of its class) under which all windows of the run go; the others go by what
@@ -84,10 +92,10 @@ def repeated_windows(rows: DataFrame, alphabet: Alphabet, compare: Compare, *, w
     (with ``least`` and ``n``) telling whether there is anything to compare.
     """
     runs = rows.select("doc", "text").mapInArrow(_scanner(alphabet), "key long, doc long, pos int")
-    near = (runs.repartitionByRange("key", "doc", "pos").sortWithinPartitions("key")
-            .mapInArrow(_neighbours, "doc long, pos int"))
+    near = materialize(runs.repartitionByRange("key", "doc", "pos").sortWithinPartitions("key")
+                       .mapInArrow(_neighbours, "doc long, pos int"))
     wanted = near.groupBy("doc").agg(F.collect_set("pos").alias("wanted"))
-    found = (rows.join(wanted, "doc").select("doc", "row", "text", "wanted")
+    found = (rows.join(wanted, "doc").select(*ROW, "wanted")
              .mapInArrow(_chooser(alphabet),
                          "key long, span long, doc long, row long, pos int, windows int, place int"))
     classes = found.groupBy("key", "span").agg(
@@ -95,10 +103,10 @@ def repeated_windows(rows: DataFrame, alphabet: Alphabet, compare: Compare, *, w
         F.min(F.struct("doc", "row", "pos", "windows", "place")).alias("first"))
     several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), worth.alias("worth"))
     compared = classes.join(several.filter("classes > 1 and worth").select("key"), "key", "left_semi")
-    asked = (compared.select("key", "span", "least", "n", "first.*").groupBy("doc", "row")
-             .agg(F.collect_list(F.struct("key", "span", "least", "n", "pos", "windows", "place")).alias("asked")))
-    texts = (rows.join(asked, ["doc", "row"]).select("text", "asked").mapInArrow(
-        _fetcher(alphabet), "key long, span long, least long, n long, windows int, place int, piece binary"))
+    asked = (compared.select("key", "span", "least", "n", "first.*").groupBy("doc")
+             .agg(F.collect_list(F.struct("row", "key", "span", "least", "n", "pos", "windows", "place")).alias("asked")))
+    texts = rows.join(asked, "doc").select(*ROW, "asked").mapInArrow(
+        _fetcher(alphabet), "key long, span long, least long, n long, windows int, place int, piece binary")
     ranges = (texts.repartition("key").sortWithinPartitions("key", "span")
               .mapInArrow(_comparer(compare), "key long, span long, ranges array<struct<start:int,windows:int>>"))
     told = classes.select("key", "span", "least", "n").join(ranges, ["key", "span"], "left")
@@ -108,8 +116,8 @@ def repeated_windows(rows: DataFrame, alphabet: Alphabet, compare: Compare, *, w
                .filter(F.size("ranges") > 0))
     moved = F.transform("ranges", lambda r: F.struct(
         (r["start"] + F.col("pos")).alias("start"), r["windows"].alias("windows")))
-    return (decided.select("doc", "row", moved.alias("ranges")).groupBy("doc", "row")
-            .agg(F.flatten(F.collect_list("ranges")).alias("ranges")))
+    return (decided.select("doc", F.struct("row", moved.alias("ranges")).alias("gone"))
+            .groupBy("doc").agg(F.collect_list("gone").alias("gone")))
 
 
 # ---- runs ------------------------------------------------------------------
@@ -234,8 +242,7 @@ def _chooser(alphabet: Alphabet) -> ArrowFunction:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            wanted = batch.column(3)
+            docs, rows, wanted = batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(4)
             flat, at = wanted.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy())
             pairs = np.sort(at << 32 | flat.astype(np.int64))
             for block in blocks(map(alphabet.hashes, texts_of(batch)), alphabet.length):
@@ -257,7 +264,8 @@ def _fetcher(alphabet: Alphabet) -> ArrowFunction:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, text in enumerate(texts_of(batch)):
-                asked = batch.column(1)[at].values
+                asked = batch.column(4)[at].values
+                asked = asked.filter(pc.equal(asked.field("row"), batch.column(2)[at]))
                 pos, windows = asked.field("pos").to_numpy(), asked.field("windows").to_numpy()
                 places = list(zip(pos.tolist(), (pos + windows - 1 + alphabet.length).tolist()))
                 yield pa.RecordBatch.from_arrays(
@@ -307,11 +315,12 @@ def _comparer(compare: Compare) -> ArrowFunction:
     return run
 
 
-def covered(ranges: Sequence[tuple[int, int]], length: int, n: int) -> np.ndarray:
-    """Which of ``n`` symbols the windows of ``ranges`` (start, windows) cover."""
+def covered(gone: pa.Scalar, row: pa.Scalar, length: int, n: int) -> np.ndarray:
+    """Which of a row's ``n`` symbols the windows in ``gone`` cover."""
     edges = np.zeros(n + 1, np.int64)
-    if len(ranges):
-        starts, windows = np.array(ranges, np.int64).T
+    if gone.is_valid:
+        mine = gone.values.filter(pc.equal(gone.values.field("row"), row)).field("ranges").flatten()
+        starts, windows = (mine.field(c).to_numpy().astype(np.int64) for c in ("start", "windows"))
         np.add.at(edges, starts, 1)
         np.add.at(edges, starts + windows - 1 + length, -1)
     return np.cumsum(edges[:-1]) > 0

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .anchors import Alphabet, Spans, covered, repeated_windows, rows_of
+from .anchors import ROW, Alphabet, Spans, covered, repeated_windows, rows_of
 from .common import ArrowFunction, by_value, texts_of
 
 by_value(__name__)
@@ -41,12 +41,12 @@ def drop_repeated_words(docs: DataFrame, window: int = 13) -> DataFrame:
     are not read.
     """
     rows = rows_of(docs)
-    ranges = repeated_windows(
+    gone = repeated_windows(
         rows, Alphabet(window, GRAM, word_hashes, word_pieces), _grown(window),
         whole=F.col("doc") > F.col("least"), worth=F.min("least") < F.max("least"))
     schema = ("doc_id " + docs.schema["doc_id"].dataType.simpleString()
               + ", n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
-    return (rows.join(ranges, ["doc", "row"], "left").select("doc_id", "text", "ranges")
+    return (rows.join(gone, "doc", "left").select(*ROW, "gone")
             .mapInArrow(_remover(window), schema))
 
 
@@ -99,8 +99,7 @@ def _remover(window: int) -> ArrowFunction:
             rows = []
             for at, text in enumerate(texts_of(batch)):
                 words = text.split()
-                ranges = batch.column(2)[at].as_py() or ()
-                gone = covered([(r["start"], r["windows"]) for r in ranges], window, len(words))
+                gone = covered(batch.column(4)[at], batch.column(2)[at], window, len(words))
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))).reshape(-1, 2)
                 kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g]) if len(edges) else b" ".join(words)
                 rows.append((len(words), int(gone.sum()), [{"start": a, "end": b} for a, b in edges.tolist()], kept))

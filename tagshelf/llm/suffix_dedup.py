@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import Alphabet, Spans, covered, mixed, repeated_windows, rows_of
+from .anchors import ROW, Alphabet, Spans, covered, mixed, repeated_windows, rows_of
 from .common import ArrowFunction, by_value, texts_of
 from .substring_dedup import removal_batch
 
@@ -39,12 +39,12 @@ def drop_repeated_bytes(docs: DataFrame, length: int = 400) -> DataFrame:
     ``doc_id`` is an integer. No rows give none; other columns are not read.
     """
     rows = rows_of(docs)
-    ranges = repeated_windows(
+    gone = repeated_windows(
         rows, Alphabet(length, GRAM, byte_hashes, byte_pieces), _sorted(length),
         whole=F.col("n") > 1, worth=F.min("n") == 1)
     schema = ("doc_id " + docs.schema["doc_id"].dataType.simpleString()
               + ", n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
-    return (rows.join(ranges, ["doc", "row"], "left").select("doc_id", "text", "ranges")
+    return (rows.join(gone, "doc", "left").select(*ROW, "gone")
             .mapInArrow(_remover(length), schema))
 
 
@@ -145,11 +145,10 @@ def _remover(length: int) -> ArrowFunction:
         for batch in batches:
             rows = []
             for at, text in enumerate(texts_of(batch)):
-                ranges = batch.column(2)[at].as_py()
-                if not ranges:
+                if not batch.column(4)[at].is_valid:
                     rows.append((len(text), 0, [], text))
                     continue
-                gone = covered([(r["start"], r["windows"]) for r in ranges], length, len(text))
+                gone = covered(batch.column(4)[at], batch.column(2)[at], length, len(text))
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))).reshape(-1, 2)
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 rows.append((len(text), int(gone.sum()), [{"start": a, "end": b} for a, b in edges.tolist()], kept))
