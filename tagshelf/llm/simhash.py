@@ -1,8 +1,8 @@
 """SimHash near-dedup: fingerprints of shingles, linked within a Hamming distance.
 
 Equal fingerprints are one row from the start. The distinct ones are dealt out by a
-vantage-point tree: each goes to its home shard, and as a visitor to every shard that
-the triangle inequality doesn't rule out. Within a shard, rings around two more
+vantage-point tree: each goes to its home shard, and as a visitor to those shards on the
+outer side of a boundary that the triangle inequality doesn't rule out. Within a shard, rings around two more
 vantage points leave few pairs to compare. A shard hands on a spanning forest of its
 links, never all pairs; the forests are joined by rounds of label exchange.
 """
@@ -27,7 +27,7 @@ by_value(__name__)
 SEED = 42
 BITS = 64
 # Fingerprints that a shard is to be the home of, on average.
-SHARD_SIZE = 25_000
+SHARD_SIZE = 50_000
 # Fingerprints (about so many, by a filter on their hash) that the tree of vantage points
 # is built on: it only deals out rows, so its choice does not change what is found. The
 # tree has at most 1/16 as many shards.
@@ -168,8 +168,11 @@ def routes(fps: np.ndarray, tree: tuple[list[int], list[int]], distance: int) ->
             continue
         far = np.bitwise_count(own ^ np.uint64(points[node])).astype(np.int64)
         inside = far <= medians[node]
-        left, right = far - distance <= medians[node], far + distance > medians[node]
-        stack.append((2 * node + 1, own[left], (home & inside)[left]))
+        # Of two homes on either side the inner one visits the outer; a visitor has to go
+        # wherever a home within the distance may be.
+        left = np.where(home, inside, far - distance <= medians[node])
+        right = far + distance > medians[node]
+        stack.append((2 * node + 1, own[left], home[left]))
         stack.append((2 * node + 2, own[right], (home & ~inside)[right]))
 
 
