@@ -79,7 +79,7 @@ def rows_of(docs: DataFrame) -> DataFrame:
     """The columns ``ROW``; ``row`` tells apart rows of one id."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     return (docs.select("doc_id", doc.alias("doc"), text_or_empty().alias("text"))
-            .select("doc_id", "doc", F.xxhash64("text").alias("row"), "text"))
+            .select("doc_id", "doc", F.hash("text").alias("row"), "text"))
 
 
 def repeated_windows(rows: DataFrame, alphabet: Alphabet, compare: Compare, *, whole: Column, worth: Column) -> DataFrame:
@@ -97,19 +97,20 @@ def repeated_windows(rows: DataFrame, alphabet: Alphabet, compare: Compare, *, w
     wanted = near.groupBy("doc").agg(F.collect_set("pos").alias("wanted"))
     found = (rows.join(wanted, "doc").select(*ROW, "wanted")
              .mapInArrow(_chooser(alphabet),
-                         "key long, span long, doc long, row long, pos int, windows int, place int"))
+                         _schema("key long, span long, doc long, row int, pos int, windows int, place int")))
+    # All that is made of the classes uses both columns, so they are aggregated once.
     classes = found.groupBy("key", "span").agg(
-        F.min("doc").alias("least"), F.count(F.lit(1)).alias("n"),
-        F.min(F.struct("doc", "row", "pos", "windows", "place")).alias("first"))
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "row", "pos", "windows", "place")).alias("first"))
     several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), worth.alias("worth"))
     compared = classes.join(several.filter("classes > 1 and worth").select("key"), "key", "left_semi")
-    asked = (compared.select("key", "span", "least", "n", "first.*").groupBy("doc")
-             .agg(F.collect_list(F.struct("row", "key", "span", "least", "n", "pos", "windows", "place")).alias("asked")))
+    asked = (compared.select("key", "span", "n", "first.*").groupBy("doc")
+             .agg(F.collect_list(F.struct("row", "key", "span", "doc", "n", "pos", "windows", "place")).alias("asked")))
     texts = rows.join(asked, "doc").select(*ROW, "asked").mapInArrow(
-        _fetcher(alphabet), "key long, span long, least long, n long, windows int, place int, piece binary")
+        _fetcher(alphabet), _schema("key long, span long, doc long, n long, windows int, place int, piece binary"))
     ranges = (texts.repartition("key").sortWithinPartitions("key", "span")
-              .mapInArrow(_comparer(compare), "key long, span long, ranges array<struct<start:int,windows:int>>"))
-    told = classes.select("key", "span", "least", "n").join(ranges, ["key", "span"], "left")
+              .mapInArrow(_comparer(compare), _schema("key long, span long, ranges array<struct<start:int,windows:int>>")))
+    told = classes.join(ranges, ["key", "span"], "left").select(
+        "key", "span", "n", F.col("first.doc").alias("least"), "ranges")
     every = F.array(F.struct(F.lit(0).alias("start"), F.col("windows").alias("windows")))
     decided = (found.join(told, ["key", "span"])
                .select("doc", "row", "pos", F.when(whole, every).otherwise(F.col("ranges")).alias("ranges"))
@@ -120,6 +121,11 @@ def repeated_windows(rows: DataFrame, alphabet: Alphabet, compare: Compare, *, w
             .groupBy("doc").agg(F.collect_list("gone").alias("gone")))
 
 
+def _schema(columns: str) -> str:
+    """Columns that are never NULL, so that joins add no filters by which equal steps would differ."""
+    return ", ".join(f"{c} not null" for c in columns.split(", "))
+
+
 # ---- runs ------------------------------------------------------------------
 
 class Runs(NamedTuple):
@@ -259,7 +265,7 @@ def _chooser(alphabet: Alphabet) -> ArrowFunction:
 
 
 def _fetcher(alphabet: Alphabet) -> ArrowFunction:
-    names = ["key", "span", "least", "n", "windows", "place", "piece"]
+    names = ["key", "span", "doc", "n", "windows", "place", "piece"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,7 +284,7 @@ def _comparer(compare: Compare) -> ArrowFunction:
         _, anchor = np.unique(held.column("key").to_numpy(), return_inverse=True)
         windows = held.column("windows").to_numpy().astype(np.int64)
         gone = compare(Spans(anchor, held.column("place").to_numpy().astype(np.int64), windows,
-                             held.column("least").to_numpy(), held.column("n").to_numpy() == 1,
+                             held.column("doc").to_numpy(), held.column("n").to_numpy() == 1,
                              held.column("piece").to_pylist()))
         first = np.cumsum(windows) - windows
         span_of = np.repeat(np.arange(len(windows)), windows)

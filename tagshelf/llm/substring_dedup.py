@@ -43,7 +43,8 @@ def drop_repeated_words(docs: DataFrame, window: int = 13) -> DataFrame:
     rows = rows_of(docs)
     gone = repeated_windows(
         rows, Alphabet(window, GRAM, word_hashes, word_pieces), _grown(window),
-        whole=F.col("doc") > F.col("least"), worth=F.min("least") < F.max("least"))
+        whole=(F.col("n") > 1) & (F.col("doc") > F.col("least")),
+        worth=(F.sum("n") > 1) & (F.min("first.doc") < F.max("first.doc")))
     schema = ("doc_id " + docs.schema["doc_id"].dataType.simpleString()
               + ", n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
     return (rows.join(gone, "doc", "left").select(*ROW, "gone")

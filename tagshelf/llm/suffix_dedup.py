@@ -41,7 +41,8 @@ def drop_repeated_bytes(docs: DataFrame, length: int = 400) -> DataFrame:
     rows = rows_of(docs)
     gone = repeated_windows(
         rows, Alphabet(length, GRAM, byte_hashes, byte_pieces), _sorted(length),
-        whole=F.col("n") > 1, worth=F.min("n") == 1)
+        whole=(F.col("n") > 1) & (F.col("doc") >= F.col("least")),
+        worth=(F.min("n") == 1) & F.max("first.doc").isNotNull())
     schema = ("doc_id " + docs.schema["doc_id"].dataType.simpleString()
               + ", n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
     return (rows.join(gone, "doc", "left").select(*ROW, "gone")
