@@ -26,6 +26,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ by_value(__name__)
 # document overlap by a window; their places in a block take PLACE_BITS.
 BLOCK, PIECE, PLACE_BITS = 1 << 18, 1 << 18, 20
 # Text of the spans that a task compares at once. An anchor's spans are never divided.
-COMPARED_BYTES = 8 << 20
+COMPARED_BYTES = 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 # Stands for a NULL doc_id, which is smaller than any other.
 NO_ID = -(2 ** 63)
@@ -70,22 +71,42 @@ class Spans(NamedTuple):
 Compare = Callable[[Spans], np.ndarray]
 
 
-# Everything that is joined to the texts takes all these columns and meets them by ``doc``
-# alone, so Spark finds the exchanges of the texts equal and shuffles them once.
-ROW = ("doc_id", "doc", "row", "text")
+# The texts are shuffled once, compressed: all that is joined to them meets them by ``doc``
+# alone and takes all their columns, so that Spark finds the exchanges equal.
+ROW = ("doc_id", "doc", "row", "packed")
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
-    """The columns ``ROW``; ``row`` tells apart rows of one id."""
+    """(doc_id, doc, row, text); ``row`` tells apart rows of one id."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     return (docs.select("doc_id", doc.alias("doc"), text_or_empty().alias("text"))
             .select("doc_id", "doc", F.hash("text").alias("row"), "text"))
 
 
-def repeated_windows(rows: DataFrame, alphabet: Alphabet, compare: Compare, *, whole: Column, worth: Column) -> DataFrame:
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the texts compressed, the columns ``ROW``."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(_packer, f"doc_id {kind}, " + _schema("doc long, row int, packed binary"))
+
+
+def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor(3).compress
+    for batch in batches:
+        texts = pa.array([squeeze(t) for t in texts_of(batch)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], texts], list(ROW))
+
+
+def unpacked(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """The texts of a batch with the columns ``ROW``."""
+    return map(zstandard.ZstdDecompressor().decompress, batch.column(3).to_pylist())
+
+
+def repeated_windows(rows: DataFrame, shuffled: DataFrame, alphabet: Alphabet, compare: Compare, *, whole: Column, worth: Column) -> DataFrame:
     """(doc, gone array<struct<row, ranges>>): the windows of each document to go, as ranges
     array<struct<start, windows>> for each of its rows, in any order and number.
 
+    ``shuffled`` is ``packed(rows)``, which the result is to be joined to.
+
     ``whole`` is a condition on ``doc`` (of a run), ``least`` and ``n`` (smallest document and
     count of its class) under which all windows of the run go; the others go by what
     ``compare`` says of their class. ``worth`` is an aggregate over the classes of an anchor
@@ -95,7 +116,7 @@ def repeated_windows(rows: DataFrame, alphabet: Alphabet, compare: Compare, *, w
     near = materialize(runs.repartitionByRange("key", "doc", "pos").sortWithinPartitions("key")
                        .mapInArrow(_neighbours, "doc long, pos int"))
     wanted = near.groupBy("doc").agg(F.collect_set("pos").alias("wanted"))
-    found = (rows.join(wanted, "doc").select(*ROW, "wanted")
+    found = (shuffled.join(wanted, "doc").select(*ROW, "wanted")
              .mapInArrow(_chooser(alphabet),
                          _schema("key long, span long, doc long, row int, pos int, windows int, place int")))
     # All that is made of the classes uses both columns, so they are aggregated once.
@@ -105,7 +126,7 @@ def repeated_windows(rows: DataFrame, alphabet: Alphabet, compare: Compare, *, w
     compared = classes.join(several.filter("classes > 1 and worth").select("key"), "key", "left_semi")
     asked = (compared.select("key", "span", "n", "first.*").groupBy("doc")
              .agg(F.collect_list(F.struct("row", "key", "span", "doc", "n", "pos", "windows", "place")).alias("asked")))
-    texts = rows.join(asked, "doc").select(*ROW, "asked").mapInArrow(
+    texts = shuffled.join(asked, "doc").select(*ROW, "asked").mapInArrow(
         _fetcher(alphabet), _schema("key long, span long, doc long, n long, windows int, place int, piece binary"))
     ranges = (texts.repartition("key").sortWithinPartitions("key", "span")
               .mapInArrow(_comparer(compare), _schema("key long, span long, ranges array<struct<start:int,windows:int>>")))
@@ -251,7 +272,7 @@ def _chooser(alphabet: Alphabet) -> ArrowFunction:
             docs, rows, wanted = batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(4)
             flat, at = wanted.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy())
             pairs = np.sort(at << 32 | flat.astype(np.int64))
-            for block in blocks(map(alphabet.hashes, texts_of(batch)), alphabet.length):
+            for block in blocks(map(alphabet.hashes, unpacked(batch)), alphabet.length):
                 r = runs_of(block, alphabet.length, alphabet.gram)
                 mine = r.owner << 32 | r.pos
                 found = np.minimum(np.searchsorted(pairs, mine), max(0, len(pairs) - 1))
@@ -269,7 +290,7 @@ def _fetcher(alphabet: Alphabet) -> ArrowFunction:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, text in enumerate(texts_of(batch)):
+            for at, text in enumerate(unpacked(batch)):
                 asked = batch.column(4)[at].values
                 asked = asked.filter(pc.equal(asked.field("row"), batch.column(2)[at]))
                 pos, windows = asked.field("pos").to_numpy(), asked.field("windows").to_numpy()
@@ -306,16 +327,15 @@ def _comparer(compare: Compare) -> ArrowFunction:
                 continue
             held.append(batch)
             size += batch.nbytes
-            while size > COMPARED_BYTES:
+            if size > COMPARED_BYTES:
                 table = pa.Table.from_batches(held)
                 keys = table.column("key").to_numpy()
+                # The last anchor may go on in the next batch.
                 cut = int(np.searchsorted(keys, keys[-1]))
-                if not cut:
-                    break
-                yield results(table.slice(0, cut))
-                held = table.slice(cut).to_batches()
-                size = sum(b.nbytes for b in held)
-                break
+                if cut:
+                    yield results(table.slice(0, cut))
+                    held = table.slice(cut).to_batches()
+                    size = sum(b.nbytes for b in held)
         if held:
             yield results(pa.Table.from_batches(held))
     return run

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .anchors import ROW, Alphabet, Spans, covered, repeated_windows, rows_of
-from .common import ArrowFunction, by_value, texts_of
+from .anchors import ROW, Alphabet, Spans, covered, packed, repeated_windows, rows_of, unpacked
+from .common import ArrowFunction, by_value
 
 by_value(__name__)
 
@@ -41,13 +41,14 @@ def drop_repeated_words(docs: DataFrame, window: int = 13) -> DataFrame:
     are not read.
     """
     rows = rows_of(docs)
+    shuffled = packed(rows)
     gone = repeated_windows(
-        rows, Alphabet(window, GRAM, word_hashes, word_pieces), _grown(window),
+        rows, shuffled, Alphabet(window, GRAM, word_hashes, word_pieces), _grown(window),
         whole=(F.col("n") > 1) & (F.col("doc") > F.col("least")),
         worth=(F.sum("n") > 1) & (F.min("first.doc") < F.max("first.doc")))
     schema = ("doc_id " + docs.schema["doc_id"].dataType.simpleString()
               + ", n_words long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
-    return (rows.join(gone, "doc", "left").select(*ROW, "gone")
+    return (shuffled.join(gone, "doc", "left").select(*ROW, "gone")
             .mapInArrow(_remover(window), schema))
 
 
@@ -98,7 +99,7 @@ def _remover(window: int) -> ArrowFunction:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for at, text in enumerate(texts_of(batch)):
+            for at, text in enumerate(unpacked(batch)):
                 words = text.split()
                 gone = covered(batch.column(4)[at], batch.column(2)[at], window, len(words))
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))).reshape(-1, 2)

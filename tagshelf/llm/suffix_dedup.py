@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import ROW, Alphabet, Spans, covered, mixed, repeated_windows, rows_of
-from .common import ArrowFunction, by_value, texts_of
+from .anchors import ROW, Alphabet, Spans, covered, mixed, packed, repeated_windows, rows_of, unpacked
+from .common import ArrowFunction, by_value
 from .substring_dedup import removal_batch
 
 by_value(__name__)
@@ -39,13 +39,14 @@ def drop_repeated_bytes(docs: DataFrame, length: int = 400) -> DataFrame:
     ``doc_id`` is an integer. No rows give none; other columns are not read.
     """
     rows = rows_of(docs)
+    shuffled = packed(rows)
     gone = repeated_windows(
-        rows, Alphabet(length, GRAM, byte_hashes, byte_pieces), _sorted(length),
+        rows, shuffled, Alphabet(length, GRAM, byte_hashes, byte_pieces), _sorted(length),
         whole=(F.col("n") > 1) & (F.col("doc") >= F.col("least")),
         worth=(F.min("n") == 1) & F.max("first.doc").isNotNull())
     schema = ("doc_id " + docs.schema["doc_id"].dataType.simpleString()
               + ", n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
-    return (rows.join(gone, "doc", "left").select(*ROW, "gone")
+    return (shuffled.join(gone, "doc", "left").select(*ROW, "gone")
             .mapInArrow(_remover(length), schema))
 
 
@@ -145,7 +146,7 @@ def _remover(length: int) -> ArrowFunction:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for at, text in enumerate(texts_of(batch)):
+            for at, text in enumerate(unpacked(batch)):
                 if not batch.column(4)[at].is_valid:
                     rows.append((len(text), 0, [], text))
                     continue
