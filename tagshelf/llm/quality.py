@@ -42,7 +42,7 @@ class Band(NamedTuple):
 # By script of most letters; "" is for texts without letters. A script's band is wide
 # enough for ordinary prose in any of its languages.
 BANDS: Mapping[str, Band] = {
-    "Latin": Band(1.3, 8.0, 0.25, 3.0),
+    "Latin": Band(1.9, 8.0, 0.25, 3.5),
     "Cyrillic": Band(1.0, 8.0, 0.35, 3.0),
     "Greek": Band(0.8, 8.0, 0.6, 3.0),
     "Arabic": Band(0.8, 8.0, 0.6, 3.0),
