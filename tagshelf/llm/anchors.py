@@ -133,7 +133,10 @@ def repeated_windows(rows: DataFrame, shuffled: DataFrame, alphabet: Alphabet, c
     told = classes.join(ranges, ["key", "span"], "left").select(
         "key", "span", "n", F.col("first.doc").alias("least"), "ranges")
     every = F.array(F.struct(F.lit(0).alias("start"), F.col("windows").alias("windows")))
-    decided = (found.join(told, ["key", "span"])
+    # A class of its own name, so that both sides come from plain exchanges: of such Spark
+    # can split a partition that holds a class of very many runs.
+    name = F.xxhash64("key", "span").alias("class")
+    decided = (found.select("*", name).join(told.select("*", name), ["class", "key", "span"])
                .select("doc", "row", "pos", F.when(whole, every).otherwise(F.col("ranges")).alias("ranges"))
                .filter(F.size("ranges") > 0))
     moved = F.transform("ranges", lambda r: F.struct(
@@ -322,15 +325,13 @@ def _comparer(compare: Compare) -> ArrowFunction:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            size += batch.nbytes
+        for part in (batch.slice(at, 256) for batch in batches for at in range(0, batch.num_rows, 256)):
+            held.append(part)
+            size += part.nbytes
             if size > COMPARED_BYTES:
                 table = pa.Table.from_batches(held)
                 keys = table.column("key").to_numpy()
-                # The last anchor may go on in the next batch.
+                # The last anchor may go on in the next part.
                 cut = int(np.searchsorted(keys, keys[-1]))
                 if cut:
                     yield results(table.slice(0, cut))
