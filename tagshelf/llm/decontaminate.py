@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Documents are read once for seeds: n-grams of words that a bit filter of the test
-items' n-grams lets through, which a join with those n-grams then proves. Seeds that
-many documents have say little and are left out, but an item always keeps the rarer
-half. A document's passage around its seeds, not the document, is aligned with the
-item, so edited and partly copied passages get a score as well.
+items' n-grams lets through, which a join with those n-grams then proves. A seed counts
+however many documents have it. A document's passage around its seeds, not the
+document, is aligned with the item, so edited and partly copied passages get a score as
+well; what cannot reach the threshold by the item's words in it is not aligned.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -28,10 +28,6 @@ by_value(__name__)
 WORD = r"[\p{L}\p{M}\p{N}]+"
 # Words of a seed.
 SEED = 3
-# A seed is rare if at most this share of the documents has it, or at most so many times
-# as many as have the item's median seed. So an item always keeps the rarer half of its
-# seeds, and one that is copied everywhere keeps all that come with the copies.
-RARE_SHARE, OF_MEDIAN = 1e-3, 2
 # Bits of the filter, a fixed size: it only saves rows, the join decides.
 FILTER_BITS = 1 << 24
 # Words around the outermost seeds that belong to a passage, and words without a seed
@@ -59,10 +55,10 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
     items = items.select("item_id", text_or_empty().alias("text"))
     grams = materialize(items.mapInArrow(_item_grams(), f"{_kind(items, 'item_id')}, gram long, n_words int"))
     passages = materialize(_passages(docs, grams))
-    seeds = _rare_seeds(docs, grams, passages)
+    seeds = _counted_seeds(grams)
     hits = passages.select("doc_id", "passage", F.explode(F.array_distinct("grams")).alias("gram"))
     found = (_small(seeds, hits, "gram").groupBy("doc_id", "passage", "item_id")
-             .agg(F.count(F.lit(1)).alias("n"), F.first("n_seeds").alias("n_seeds"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min("n_seeds").alias("n_seeds"))
              .filter(F.col("n") >= F.least(F.lit(MIN_SEEDS), "n_seeds")))
     pairs = passages.select("doc_id", "passage", "start", "words").join(
         found.withColumnRenamed("doc_id", "_doc"),
@@ -175,20 +171,12 @@ def _scanner(sent: Broadcast, sizes: list[int]) -> ArrowFunction:
     return run
 
 
-def _rare_seeds(docs: DataFrame, grams: DataFrame, passages: DataFrame) -> DataFrame:
-    """(gram, item_id, n_seeds): the seeds used, and how many its item has.
-
-    Counts are over all documents; passages hold every occurrence of an item's n-gram.
-    """
-    n_docs = docs.count()
-    seen = (passages.select("doc_id", F.explode("grams").alias("gram")).distinct()
-            .groupBy("gram").agg(F.count(F.lit(1)).alias("n_docs")))
-    counted = grams.join(seen, "gram", "left").fillna(0, ["n_docs"])
-    item = Window.partitionBy("item_id")
-    return (counted.withColumn("median", F.percentile("n_docs", 0.5).over(item))
-            .filter(F.col("n_docs") <= F.greatest(F.lit(RARE_SHARE * n_docs), OF_MEDIAN * F.col("median")))
-            .withColumn("n_seeds", F.count(F.lit(1)).over(item))
-            .select("gram", "item_id", "n_seeds"))
+def _counted_seeds(grams: DataFrame) -> DataFrame:
+    """(gram, item_id, n_seeds): the seeds of each item, and how many it has."""
+    sizes = grams.groupBy("item_id").agg(F.count_distinct("gram").alias("n_seeds"))
+    named = sizes.withColumnRenamed("item_id", "_item")
+    return (grams.select("gram", "item_id").distinct()
+            .join(named, F.col("item_id").eqNullSafe(F.col("_item"))).select("gram", "item_id", "n_seeds"))
 
 
 # ---- alignment -------------------------------------------------------------
@@ -225,13 +213,45 @@ def align(passage: list[str], item: list[str]) -> tuple[int, int, int]:
     return best
 
 
+def promising(passage: list[str], item: list[str], threshold: float) -> list[tuple[int, int]]:
+    """The parts of the passage outside of which no alignment reaches ``threshold``.
+
+    Of an alignment that does, with m matches, the errors cost at most MATCH * (m - threshold *
+    len(item)), and each word of the passage that is no match is one. So it lies in a
+    stretch of bounded length with threshold * len(item) or more words of the item.
+    """
+    width = int(len(item) * (1 + MATCH * (1 - threshold))) + 1
+    known = set(item)
+    sums = np.cumsum([0, *(w in known for w in passage)])
+    ends = np.arange(1, len(passage) + 1)
+    starts = np.maximum(0, ends - width)
+    good = sums[ends] - sums[starts] >= threshold * len(item)
+    parts: list[tuple[int, int]] = []
+    for a, b in zip(starts[good].tolist(), ends[good].tolist()):
+        if parts and a <= parts[-1][1]:
+            parts[-1] = (parts[-1][0], b)
+        else:
+            parts.append((a, b))
+    return parts
+
+
+def align_parts(passage: list[str], item: list[str], threshold: float) -> tuple[int, int, int]:
+    """``align``, if the score reaches ``threshold``; anything less else. Of equal scores the first."""
+    best = (0, 0, 0)
+    for a, b in promising(passage, item, threshold):
+        score, start, end = align(passage[a:b], item)
+        if score > best[0]:
+            best = (score, a + start, a + end)
+    return best
+
+
 def _aligner(threshold: float) -> ArrowFunction:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places, rows = [], []
             for at in range(batch.num_rows):
                 passage, item = batch.column(3)[at].as_py().split(" "), words_of(batch.column(4)[at].as_py())
-                score, a, b = align(passage, item) if item else (0, 0, 0)
+                score, a, b = align_parts(passage, item, threshold) if item else (0, 0, 0)
                 if item and score >= threshold * MATCH * len(item):
                     first = batch.column(2)[at].as_py()
                     places.append(at)

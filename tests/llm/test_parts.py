@@ -108,6 +108,29 @@ def test_alignment(passage, item):
     assert score == 0 or brute.alignment(passage[start:end], item) == score
 
 
+@given(st.lists(st.sampled_from("abcdefghijkl"), max_size=60), st.lists(st.sampled_from("abcde"), min_size=1, max_size=8),
+       st.sampled_from([0.2, 0.5, 0.8, 1.0]))
+@settings(deadline=None, max_examples=300)
+def test_only_passages_below_the_threshold_are_not_aligned(passage, item, threshold):
+    whole, parts = decontaminate.align(passage, item), decontaminate.align_parts(passage, item, threshold)
+    if whole[0] >= threshold * decontaminate.MATCH * len(item):
+        assert parts == whole
+    else:
+        assert parts[0] <= whole[0]
+
+
+@pytest.mark.parametrize("copies", [1, 2, 40])
+def test_edited_passages_are_found_however_many_documents_have_them(spark, copies):
+    words = [f"w{i}" for i in range(40)]
+    edited = [f"new{i}" if i % 5 == 4 else w for i, w in enumerate(words)]
+    docs = [(i, " ".join([f"a{i}", *edited, f"b{i}"])) for i in range(copies)]
+    docs += [(1000, " ".join(["before", *words[:20], "after"]))]
+    docs += [(2000 + i, f"other text number {i} of no item") for i in range(300)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {r.doc_id for r in found} == {*range(copies), 1000}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_links_connect_what_is_near(spark, monkeypatch, seed):
     """Chains and clouds of fingerprints over many shards and blocks."""
