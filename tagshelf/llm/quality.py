@@ -7,6 +7,7 @@ per script, or per language where given, tells which values are rejected.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
@@ -141,17 +142,21 @@ def base_failed(base: Sequence[int]) -> bool:
     return base[0] < MIN_WORDS or 100 * base[4] > MAX_REPEATED_PERCENT * base[0]
 
 
-def main_script(text: str, look: int = 4096) -> str:
+def main_script(text: str) -> str:
     """The script of most letters, "other" for one without a band, "" without letters.
 
-    Long texts are told by samples of letters spread evenly over the whole text.
+    All letters of the text are counted; the script of each different one is looked up once.
     """
     if text.isascii():
         return "Latin" if any(map(str.isalpha, text)) else ""
-    step = max(1, len(text) // look)
-    sample = text[::step]
-    counts = {script: len(regex.findall(rf"\p{{{script}}}", sample)) for script in _SCRIPTS}
-    letters = len(regex.findall(r"\p{L}", sample))
+    times = Counter(text)
+    different = "".join(times)
+
+    def count(kind: str) -> int:
+        return sum(times[c] for c in regex.findall(rf"\p{{{kind}}}", different))
+
+    counts = {script: count(script) for script in _SCRIPTS}
+    letters = count("L")
     best = max(counts, key=counts.get)
     if counts[best]:
         return best if 2 * counts[best] >= letters else "other"

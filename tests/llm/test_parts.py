@@ -8,7 +8,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tagshelf.llm import anchors, bpe, decontaminate, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from tagshelf.llm import (anchors, bpe, decontaminate, quality, simhash, substring_dedup, suffix_dedup, toxicity,
+                          url_filter)
 
 few_letters = st.lists(st.integers(1, 3), min_size=1, max_size=80)
 
@@ -176,3 +177,9 @@ def test_grammar():
 def test_url_base_parts(spark):
     table = spark.createDataFrame([("HTTP://A.B/C?d",)], "url string")
     assert tuple(url_filter.with_host_and_path(table).first()) == ("HTTP://A.B/C?d", "a.b", "/C")
+
+
+def test_script_is_told_by_all_letters():
+    # Every fourth character, the stride of a sample of 4,096, is Latin.
+    assert quality.main_script("a\u0436\u0436\u0436" * 4096) == "Cyrillic"
+    assert quality.main_script(("." * 3 + "\u0436") * 4096) == "Cyrillic"
