@@ -27,7 +27,8 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 10
 WINDOW = 5
 MAX_REPEATED_PERCENT = 20
-# Texts with fewer tokens say little about their vocabulary and are not judged by it.
+# Texts with fewer tokens cannot have the entropy of longer ones: the bound shrinks with
+# the logarithm of their number.
 MIN_TOKENS = 50
 
 
@@ -68,7 +69,8 @@ def quality(docs: DataFrame, ranks: Broadcast, pattern: str, bands: Mapping[str,
     ``base_failed``: fewer than ``MIN_WORDS`` words, or more than ``MAX_REPEATED_PERCENT``
     percent of the words in repeated windows. ``kept``: not that, and inside the band. With
     ``language``, a column's name, the band of its value is used where there is one,
-    else that of the script; scripts without a band have that of "other".
+    else that of the script; scripts without a band have that of "other". Below
+    ``MIN_TOKENS`` tokens the band's least entropy is scaled by log2 of their number.
 
     A NULL or empty text has all counts and rates 0, script "" and fails the base rules.
     Rows are judged one by one, so repeated ones are repeated; no rows give none. Other
@@ -184,8 +186,9 @@ def fertility(n_chars: int, ids: np.ndarray, broken: np.ndarray) -> tuple[float,
 
 
 def fits(band: Band, n_tokens: int, rates: Sequence[float]) -> bool:
-    if n_tokens < MIN_TOKENS:
+    if not n_tokens:
         return True
     chars, fallback, entropy = rates
+    least = band.min_entropy * min(1.0, np.log2(n_tokens) / np.log2(MIN_TOKENS))
     return (band.min_chars_per_token <= chars <= band.max_chars_per_token
-            and fallback <= band.max_fallback and entropy >= band.min_entropy)
+            and fallback <= band.max_fallback and bool(entropy >= least))

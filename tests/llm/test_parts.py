@@ -183,3 +183,12 @@ def test_script_is_told_by_all_letters():
     # Every fourth character, the stride of a sample of 4,096, is Latin.
     assert quality.main_script("a\u0436\u0436\u0436" * 4096) == "Cyrillic"
     assert quality.main_script(("." * 3 + "\u0436") * 4096) == "Cyrillic"
+
+
+def test_short_texts_are_judged_by_the_vocabulary():
+    band = quality.BANDS["Latin"]
+    assert not quality.fits(band, 40, (1.2, 0.0, 5.0))
+    assert not quality.fits(band, 40, (4.0, 0.5, 5.0))
+    assert not quality.fits(band, 40, (4.0, 0.0, 1.0))
+    # Twelve different tokens have 3.58 bits; eight, 3 bits, less than a long text needs.
+    assert quality.fits(band, 12, (4.0, 0.0, 3.58)) and quality.fits(band, 8, (4.0, 0.0, 3.0))
