@@ -13,7 +13,12 @@ windows with one anchor are a run, and the text that a run's windows cover is it
 3. Anchors with several classes have one text per class compared by an algorithm on
    suffixes (a suffix tree or a sorted suffix array), which tells which windows of
    different classes are equal.
-4. Each run takes the result of its class, each document those of its runs.
+4. An anchor of very many classes is divided first: its windows by how deep the anchor
+   lies in them, into two halves, and each half by the text that all its windows hold
+   around the anchor. What is equal then is one class again, and parts that are still
+   too large are divided in the same way, until all fit. At the last a part holds one
+   window, which is one class.
+5. Each run takes the result of its class, each document those of its runs.
 
 Nothing is left out: step 1 only drops runs that cannot have an equal window.
 """
@@ -29,6 +34,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_digest
 
 from ..sources.scratch import materialize
 from .common import ArrowFunction, by_value, text_or_empty, texts_of
@@ -38,8 +44,10 @@ by_value(__name__)
 # Symbols handled at once, and the longest piece of one document among them. Pieces of a
 # document overlap by a window; their places in a block take PLACE_BITS.
 BLOCK, PIECE, PLACE_BITS = 1 << 18, 1 << 18, 20
-# Text of the spans that a task compares at once. An anchor's spans are never divided.
-COMPARED_BYTES = 2 << 20
+# Text of the spans that a task compares at once; an anchor's spans stay together.
+COMPARED_BYTES = 1 << 20
+# Spans of one anchor that are compared without being divided.
+GROUP_SPANS = 2000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 # Stands for a NULL doc_id, which is smaller than any other.
 NO_ID = -(2 ** 63)
@@ -114,35 +122,103 @@ def repeated_windows(rows: DataFrame, shuffled: DataFrame, alphabet: Alphabet, c
     """
     runs = rows.select("doc", "text").mapInArrow(_scanner(alphabet), "key long, doc long, pos int")
     near = materialize(runs.repartitionByRange("key", "doc", "pos").sortWithinPartitions("key")
-                       .mapInArrow(_neighbours, "doc long, pos int"))
-    wanted = near.groupBy("doc").agg(F.collect_set("pos").alias("wanted"))
+                       .mapInArrow(_neighbours(GROUP_SPANS), "doc long, pos int, key long, runs long"))
+    wanted = near.filter("key is null").groupBy("doc").agg(F.collect_set("pos").alias("wanted"))
     found = (shuffled.join(wanted, "doc").select(*ROW, "wanted")
              .mapInArrow(_chooser(alphabet),
                          _schema("key long, span long, doc long, row int, pos int, windows int, place int")))
+    # Only an anchor of so many runs can have so many classes.
+    many = near.filter("key is not null").groupBy("key").agg(F.sum("runs").alias("runs")).filter(
+        F.col("runs") > GROUP_SPANS).select("key")
+    crowded = not many.isEmpty()
+    if crowded:
+        found = materialize(found)
     # All that is made of the classes uses both columns, so they are aggregated once.
     classes = found.groupBy("key", "span").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "row", "pos", "windows", "place")).alias("first"))
-    several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), worth.alias("worth"))
-    compared = classes.join(several.filter("classes > 1 and worth").select("key"), "key", "left_semi")
-    asked = (compared.select("key", "span", "n", "first.*").groupBy("doc")
-             .agg(F.collect_list(F.struct("row", "key", "span", "doc", "n", "pos", "windows", "place")).alias("asked")))
-    texts = shuffled.join(asked, "doc").select(*ROW, "asked").mapInArrow(
-        _fetcher(alphabet), _schema("key long, span long, doc long, n long, windows int, place int, piece binary"))
-    ranges = (texts.repartition("key").sortWithinPartitions("key", "span")
-              .mapInArrow(_comparer(compare), _schema("key long, span long, ranges array<struct<start:int,windows:int>>")))
+    if crowded:
+        classes = materialize(classes)
+    several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), worth.alias("worth")).filter(
+        "classes > 1 and worth")
+    compared = classes.join(several.select("key"), "key", "left_semi")
+
+    def fetched(classes: DataFrame) -> DataFrame:
+        asked = (classes.select("key", "span", "n", "first.*").groupBy("doc")
+                 .agg(F.collect_list(F.struct("row", "key", "span", "doc", "n", "pos", "windows", "place")).alias("asked")))
+        return shuffled.join(asked, "doc").select(*ROW, "asked").mapInArrow(
+            _fetcher(alphabet), _schema("key long, span long, doc long, n long, windows int, place int, piece binary"))
+
+    large = _large(several) if crowded else None
+    if large is None:
+        ranges = _compared(fetched(compared), compare)
+    else:
+        divided = fetched(compared.join(F.broadcast(large), "key", "left_semi")).withColumns(
+            {"low": F.lit(0), "high": F.lit(alphabet.length - alphabet.gram + 1)})
+        ranges = _compared(fetched(compared.join(F.broadcast(large), "key", "left_anti")), compare).unionByName(
+            _divided(divided, alphabet, compare, whole, worth))
     told = classes.join(ranges, ["key", "span"], "left").select(
         "key", "span", "n", F.col("first.doc").alias("least"), "ranges")
+    return (_decided(found, told, ("doc", "row"), "pos", whole)
+            .select("doc", F.struct("row", "ranges").alias("gone"))
+            .groupBy("doc").agg(F.collect_list("gone").alias("gone")))
+
+
+def _decided(members: DataFrame, told: DataFrame, names: Sequence[str], at: str, whole: Column) -> DataFrame:
+    """(``names``, ranges) of the members of the classes in ``told``, moved by the column ``at``."""
     every = F.array(F.struct(F.lit(0).alias("start"), F.col("windows").alias("windows")))
     # A class of its own name, so that both sides come from plain exchanges: of such Spark
     # can split a partition that holds a class of very many runs.
     name = F.xxhash64("key", "span").alias("class")
-    decided = (found.select("*", name).join(told.select("*", name), ["class", "key", "span"])
-               .select("doc", "row", "pos", F.when(whole, every).otherwise(F.col("ranges")).alias("ranges"))
+    decided = (members.select("*", name).join(told.select("*", name), ["class", "key", "span"])
+               .select(*names, at, F.when(whole, every).otherwise(F.col("ranges")).alias("ranges"))
                .filter(F.size("ranges") > 0))
     moved = F.transform("ranges", lambda r: F.struct(
-        (r["start"] + F.col("pos")).alias("start"), r["windows"].alias("windows")))
-    return (decided.select("doc", F.struct("row", moved.alias("ranges")).alias("gone"))
-            .groupBy("doc").agg(F.collect_list("gone").alias("gone")))
+        (r["start"] + F.col(at)).alias("start"), r["windows"].alias("windows")))
+    return decided.select(*names, moved.alias("ranges"))
+
+
+RANGES = "ranges array<struct<start:int,windows:int>>"
+
+
+def _compared(texts: DataFrame, compare: Compare) -> DataFrame:
+    """(key, span, ranges): what ``compare`` says of the texts of each key."""
+    return (texts.repartition("key").sortWithinPartitions("key", "span")
+            .mapInArrow(_comparer(compare), _schema(f"key long, span long, {RANGES}")))
+
+
+def _large(several: DataFrame) -> DataFrame | None:
+    """The keys of more than ``GROUP_SPANS`` classes, if there are any."""
+    large = materialize(several.filter(F.col("classes") > GROUP_SPANS).select("key"))
+    return None if large.isEmpty() else large
+
+
+def _divided(texts: DataFrame, alphabet: Alphabet, compare: Compare, whole: Column, worth: Column) -> DataFrame:
+    """(key, span, ranges) of texts whose keys have too many to be compared at once.
+
+    ``low`` and ``high`` bound how deep the anchor lies in the windows of a key.
+    """
+    pieces = materialize(texts.mapInArrow(
+        _divider(alphabet), "in_key long, in_span long, doc long, count long, at int, key long, span long, "
+                            "windows int, place int, low int, high int, piece binary"))
+    classes = materialize(pieces.groupBy("key", "span").agg(
+        F.sum("count").alias("n"), F.struct(F.min("doc").alias("doc")).alias("first"),
+        *[F.first(c).alias(c) for c in ("windows", "place", "low", "high", "piece")]))
+    several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), worth.alias("worth")).filter(
+        "classes > 1 and worth")
+    large = _large(several)
+    rest = classes.join(several.select("key"), "key", "left_semi").select(
+        "key", "span", "first.doc", "n", "windows", "place", "piece", "low", "high")
+    if large is None:
+        ranges = _compared(rest.drop("low", "high"), compare)
+    else:
+        ranges = _compared(rest.join(F.broadcast(large), "key", "left_anti").drop("low", "high"), compare).unionByName(
+            _divided(rest.join(F.broadcast(large), "key", "left_semi"), alphabet, compare, whole, worth))
+    told = classes.join(ranges, ["key", "span"], "left").select(
+        "key", "span", "n", F.col("first.doc").alias("least"), "ranges")
+    members = pieces.select("in_key", "in_span", "doc", "at", "key", "span", "windows")
+    return (_decided(members, told, ("in_key", "in_span"), "at", whole)
+            .groupBy(F.col("in_key").alias("key"), F.col("in_span").alias("span"))
+            .agg(F.flatten(F.collect_list("ranges")).alias("ranges")))
 
 
 def _schema(columns: str) -> str:
@@ -244,27 +320,51 @@ def _scanner(alphabet: Alphabet) -> ArrowFunction:
     return run
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _neighbours(many: int) -> ArrowFunction:
     """Rows with the key of the row before or after; those at either end of a partition, whose
-    neighbour is in another one, as well."""
+    neighbour is in another one, as well. Besides, with ``key``, the number of runs of a
+    key that has more than ``many`` in the partition or may go on in another."""
+    names = ["doc", "pos", "key", "runs"]
+
     def kept(held: pa.RecordBatch, before: int | None, after: int | None) -> pa.RecordBatch:
         keys = held.column(0).to_numpy()
         same = keys[1:] == keys[:-1]
         first = before is None or before == keys[0]
         last = after is None or after == keys[-1]
         mask = np.concatenate(([first], same)) | np.concatenate((same, [last]))
-        return held.filter(pa.array(mask)).select([1, 2])
+        rows = held.filter(pa.array(mask))
+        none = pa.nulls(rows.num_rows, pa.int64())
+        return pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), none, none], names)
 
-    held, before = None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    def counted(keys: np.ndarray, runs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(len(keys), pa.int64()), pa.nulls(len(keys), pa.int32()), pa.array(keys), pa.array(runs)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, before, at_start = None, None, True
+        open_keys, open_runs = np.empty(0, np.int64), np.empty(0, np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.concatenate((open_keys, batch.column(0).to_numpy()))
+            runs = np.concatenate((open_runs, np.ones(batch.num_rows, np.int64)))
+            starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            keys, runs = keys[starts], np.add.reduceat(runs, starts)
+            told = runs > many
+            told[0] |= at_start
+            told[-1] = False
+            at_start = at_start and len(keys) == 1
+            if told.any():
+                yield counted(keys[told], runs[told])
+            open_keys, open_runs = keys[-1:], runs[-1:]
+            if held is not None:
+                yield kept(held, before, batch.column(0)[0].as_py())
+                before = held.column(0)[-1].as_py()
+            held = batch
         if held is not None:
-            yield kept(held, before, batch.column(0)[0].as_py())
-            before = held.column(0)[-1].as_py()
-        held = batch
-    if held is not None:
-        yield kept(held, before, None)
+            yield kept(held, before, None)
+            yield counted(open_keys, open_runs)
+    return run
 
 
 def _chooser(alphabet: Alphabet) -> ArrowFunction:
@@ -303,6 +403,36 @@ def _fetcher(alphabet: Alphabet) -> ArrowFunction:
     return run
 
 
+def _divider(alphabet: Alphabet) -> ArrowFunction:
+    """Each text in two: its windows that hold fewer symbols before the anchor, and those that hold more."""
+    names = ["in_key", "in_span", "doc", "count", "at", "key", "span", "windows", "place", "low", "high", "piece"]
+    kinds = [*[pa.int64()] * 4, pa.int32(), *[pa.int64()] * 2, *[pa.int32()] * 4, pa.binary()]
+
+    def digest(*parts: int | bytes) -> int:
+        whole = b"".join(p if isinstance(p, bytes) else p.to_bytes(8, "little", signed=True) for p in parts)
+        return int.from_bytes(xxh64_digest(whole), "little", signed=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist()
+                       for c in ("key", "span", "doc", "n", "windows", "place", "low", "high", "piece")]
+            rows = []
+            for key, span, doc, n, windows, place, low, high, piece in zip(*columns):
+                middle = (low + high) // 2
+                for a, b in ((low, middle), (middle, high)):
+                    # Windows that hold a to b - 1 symbols before the anchor.
+                    start, stop = max(0, place - b + 1), min(windows, place - a + 1)
+                    if start >= stop:
+                        continue
+                    shared, part = alphabet.piece(piece, [(place - a, place - b + 1 + alphabet.length),
+                                                          (start, stop - 1 + alphabet.length)])
+                    rows.append((key, span, doc, n, start, digest(key, a, b, shared),
+                                 digest(stop - start, place - start, part), stop - start, place - start, a, b, part))
+            values = zip(*rows) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
+    return run
+
+
 def _comparer(compare: Compare) -> ArrowFunction:
     def results(held: pa.Table) -> pa.RecordBatch:
         _, anchor = np.unique(held.column("key").to_numpy(), return_inverse=True)

@@ -98,6 +98,41 @@ def _codec(content):
     return _known[0]
 
 
+def _few(compare, most):
+    """``compare``, which refuses more spans of an anchor than ``most``."""
+    def run(spans):
+        if np.bincount(spans.anchor).max() > most:
+            raise ValueError("too many spans of one anchor")
+        return compare(spans)
+    return run
+
+
+def test_an_anchor_of_very_many_spans_is_divided(spark, monkeypatch):
+    """A short passage in many surroundings, a long one, and copies of a few of them."""
+    monkeypatch.setattr(anchors, "GROUP_SPANS", 12, raising=False)
+    grown, ordered = substring_dedup._grown, suffix_dedup._sorted
+    monkeypatch.setattr(substring_dedup, "_grown", lambda window: _few(grown(window), 12))
+    monkeypatch.setattr(suffix_dedup, "_sorted", lambda length: _few(ordered(length), 12))
+    rng = random.Random(1)
+
+    def noise(n):
+        return " ".join(f"{rng.getrandbits(24):x}" for _ in range(n))
+
+    short, long = noise(9), noise(30)
+    rows = {i: f"{noise(20)} {short} {noise(20)}" for i in range(60)}
+    rows |= {100 + i: f"{noise(6)} {long} {noise(6)}" for i in range(60)}
+    left, right = [noise(5) for _ in range(4)], [noise(5) for _ in range(4)]
+    rows |= {200 + i: f"{noise(8)} {left[i % 4]} {short} {right[i // 4 % 4]} {noise(8)}" for i in range(48)}
+    rows |= {300 + i: rows[5 * i] for i in range(6)}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    found = {r.doc_id: (r.n_words, r.n_removed, brute.sha(bytes(r.kept)))
+             for r in substring_dedup.drop_repeated_words(docs).collect()}
+    assert found == brute.substrings(rows)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), brute.sha(bytes(r.kept)))
+           for r in suffix_dedup.drop_repeated_bytes(docs, length=90).collect()}
+    assert got == brute.suffixes(rows, 90)
+
+
 PASSAGE = st.lists(st.sampled_from("abcde"), max_size=30)
 
 
