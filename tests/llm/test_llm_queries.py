@@ -15,7 +15,7 @@ def rows(spark, sf, name, key, *columns):
 
 
 def test_every_operator_and_the_pipeline_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in llm.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm.queries()) == list(range(1, 14))
     assert "pipeline" in entries.queries()
 
 
