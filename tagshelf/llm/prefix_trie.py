@@ -198,14 +198,15 @@ def _subtree_sums(blocks: DataFrame, ended: DataFrame, shape: DataFrame, childre
 
 
 def _root(nodes: DataFrame, ended: DataFrame) -> DataFrame:
-    top = nodes.filter("depth = 1").agg(F.count(F.lit(1)).alias("n"), F.sum("n_leaves").alias("leaves"),
-                                        F.sum("saved_tokens").alias("saved"))
-    every = ended.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")).filter("n_convs > 0")
-    one = F.lit(1)
-    return every.withColumn("one", one).join(F.broadcast(top.withColumn("one", one)), "one").select(
+    every = ended.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"))
+    top = nodes.filter("depth = 1").agg(F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens"))
+    # Two rows, one of each; the maximum of a column is the one value it has.
+    both = every.unionByName(top, allowMissingColumns=True)
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns]).filter("n_convs > 0")
+    return one.select(
         F.lit(ROOT).alias("id"), F.lit(None).cast("binary").alias("parent"), F.lit(0).alias("depth"), "conv_id",
-        "n_convs", F.when(F.col("n") == 0, 1).otherwise(F.col("leaves")).cast("long").alias("n_leaves"),
-        F.coalesce("saved", F.lit(0)).cast("long").alias("saved_tokens"))
+        "n_convs", F.coalesce("n_leaves", F.lit(1).cast("long")).alias("n_leaves"),
+        F.coalesce("saved_tokens", F.lit(0).cast("long")).alias("saved_tokens"))
 
 
 def _completed(nodes: DataFrame, children: DataFrame, ended: DataFrame) -> DataFrame:
