@@ -144,6 +144,12 @@ def _match_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return texts.match_vocabulary(standin.table(spark, sf, "conversations"), words, ["conv_id", "turn"])
 
 
+def _match_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries of one to four words, taken from the benchmark's items, in all documents."""
+    entries = texts.split_phrases(standin.table(spark, sf, "benchmark"), 4)
+    return texts.match_vocabulary(standin.table(spark, sf, "documents"), entries, ["doc_id"])
+
+
 def _split_ingredients(spark: SparkSession, sf: str) -> DataFrame:
     return texts.split_ingredients(standin.table(spark, sf, "benchmark"), "item_id")
 
@@ -265,6 +271,7 @@ def core_queries() -> dict[str, Query]:
         # texts
         "split_ingredients": _split_ingredients,
         "match_vocabulary": _match_vocabulary,
+        "match_phrases": _match_phrases,
     }
 
 
@@ -346,6 +353,41 @@ _COSINE = """select e.vec_id, round(list_dot_product(e.embedding::double[], q.em
   from embeddings e, (select embedding from embeddings where vec_id = 0) q"""
 
 
+# Of all entries at all places those are taken that a reader from left to right meets first, the
+# longest of one place; ``next`` is the first place that the one taken doesn't cover.
+_MATCH_PHRASES = """with recursive items as (
+    select list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') as words from benchmark),
+  cut as (
+    select words, unnest(range(0, len(words), 10)) as start from items),
+  vocab as (
+    select distinct array_to_string(words[start + k * (k - 1) // 2 + 1:start + k * (k + 1) // 2], ' ') as word, k
+    from cut, unnest([1, 2, 3, 4]) t(k) where start + k * (k + 1) // 2 <= len(words)),
+  worded as (
+    select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') as words
+    from documents),
+  places as (
+    select doc_id, unnest(range(1, len(words) + 1)) as place, unnest(words) as word from worded),
+  ahead as (
+    select doc_id, place, word as w1, word || ' ' || lead(word, 1) over d as w2,
+      word || ' ' || lead(word, 1) over d || ' ' || lead(word, 2) over d as w3,
+      word || ' ' || lead(word, 1) over d || ' ' || lead(word, 2) over d || ' ' || lead(word, 3) over d as w4
+    from places window d as (partition by doc_id order by place)),
+  grams as (
+    select doc_id, place, unnest([w1, w2, w3, w4]) as word, unnest([1, 2, 3, 4]) as k from ahead),
+  spans as materialized (
+    select doc_id, place, max(k) as k, max_by(word, k) as word, place + max(k) as behind
+    from grams join vocab using (word, k) group by doc_id, place),
+  steps as materialized (
+    select s.doc_id, s.place, s.word, n.place as next
+    from spans s asof left join spans n on n.doc_id = s.doc_id and n.place >= s.behind),
+  taken as (
+    select doc_id, place, word, next from steps
+    qualify row_number() over (partition by doc_id order by place) = 1
+    union all
+    select s.doc_id, s.place, s.word, s.next from taken t join steps s on s.doc_id = t.doc_id and s.place = t.next)
+  select doc_id, word, count(*) as "count" from taken group by all"""
+
+
 def _with(views: str, select: str) -> str:
     return f"with {views} {select}"
 
@@ -488,4 +530,5 @@ def core_oracle_sql() -> dict[str, str]:
               from conversations)
             select conv_id, turn, word, count(*) as "count" from words join vocab using (word)
             where word <> '' group by all""",
+        "match_phrases": _MATCH_PHRASES,
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .operators.embed import NUM_PARTITIONS
 from .operators.search import UnknownWordsError
@@ -18,10 +18,6 @@ def main(argv: list[str] | None = None) -> None:
 
     job = commands.add_parser("build", help="clean, embed and write a catalogue")
     job.add_argument("input", help="delimited text with a header, plain or gzip")
-    job.add_argument("--sep", default="\t")
-    job.add_argument("--quote", default='"')
-    job.add_argument("--escape", default='"', help="what stands before a quote inside a field")
-    job.add_argument("--multi-line", action="store_true", help="fields may hold line breaks; one task reads a file")
     job.add_argument("--min-partitions", type=int, help="tasks to spread the cleaned rows over; for few gzip files")
     job.add_argument("--drop-empty", action="store_true", help="drop the columns found empty, not a fixed list")
     job.add_argument("--country", default="fr")
@@ -39,9 +35,13 @@ def main(argv: list[str] | None = None) -> None:
     batch = commands.add_parser("search-batch", help="search for every text of a file and write the results")
     batch.add_argument("queries", help="delimited text with the columns query_id and text")
     batch.add_argument("output", help="folder for the results, delimited text")
-    batch.add_argument("--sep", default="\t")
     batch.add_argument("--limit", type=int, default=10)
 
+    for command in (job, batch):
+        command.add_argument("--sep", default="\t")
+        command.add_argument("--quote", default='"')
+        command.add_argument("--escape", default='"', help="what stands before a quote inside a field")
+        command.add_argument("--multi-line", action="store_true", help="fields may hold line breaks")
     for command in (job, query, batch):
         command.add_argument("--products", required=True, help="embedded products (Parquet)")
         command.add_argument("--vectors", required=True, help="word vectors (Parquet)")
@@ -49,8 +49,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("tagshelf").getOrCreate()
     if args.command == "build":
-        raw = read_delimited(spark, args.input, args.sep, quote=args.quote, escape=args.escape,
-                             multi_line=args.multi_line)
+        raw = _read(spark, args.input, args)
         prepared = prepare(raw, args.country, args.threshold, drop_empty=args.drop_empty,
                            min_partitions=args.min_partitions)
         training = {"min_count": args.min_count, "num_partitions": args.num_partitions, "max_iter": args.max_iter}
@@ -62,9 +61,13 @@ def main(argv: list[str] | None = None) -> None:
             raise SystemExit(f"tagshelf: {unknown}") from None
         found.show(args.limit, truncate=False)
     else:
-        queries = read_delimited(spark, args.queries, args.sep).select("query_id", "text")
+        queries = _read(spark, args.queries, args).select("query_id", "text")
         write_delimited(search_batch(queries, args.products, args.vectors, args.limit), args.output, args.sep)
 
 
+def _read(spark: SparkSession, path: str, args: argparse.Namespace) -> DataFrame:
+    return read_delimited(spark, path, args.sep, quote=args.quote, escape=args.escape, multi_line=args.multi_line)
+
+
 if __name__ == "__main__":
     main()

@@ -16,7 +16,7 @@ from ..operators.english import english_only
 from ..operators.filters import drop_null_rows, filter_complete, filter_country
 from ..operators.lookup import lookup_join
 from ..operators.search import recommend, recommend_batch, with_display
-from ..operators.texts import split_ingredients
+from ..operators.texts import match_vocabulary, split_ingredients
 from ..operators.tokens import process_tokens
 from ..sources import (load_word_model, materialize, read_parquet, save_word_model, write_parquet)
 
@@ -99,10 +99,25 @@ def search_ingredients(texts: DataFrame, products_path: str, vectors_path: str,
     An ingredient that occurs in many texts is searched for once.
     """
     parts = split_ingredients(texts, key, text)
+    return _with_results(parts.select(key, "pos", "ingredient"), products_path, vectors_path, k)
+
+
+def search_recipes(recipes: DataFrame, ingredients: DataFrame, products_path: str, vectors_path: str, k: int = 10, *,
+                   key: str, text: str = "text") -> DataFrame:
+    """``search_batch`` for each known ingredient that free texts mention: key, ``ingredient``, ``count``, result.
+
+    ``ingredients`` (column ``word``) may have several words, see ``match_vocabulary``. One that
+    many texts mention is searched for once.
+    """
+    found = match_vocabulary(recipes, ingredients, [key], text).withColumnRenamed("word", "ingredient")
+    return _with_results(materialize(found), products_path, vectors_path, k)
+
+
+def _with_results(parts: DataFrame, products_path: str, vectors_path: str, k: int) -> DataFrame:
+    """Each row with the results for its ``ingredient``, if there are any."""
     asked = parts.select("ingredient").distinct().select("ingredient", F.col("ingredient").alias("text"))
     found = search_batch(asked, products_path, vectors_path, k, query_key="ingredient")
     results = found.groupBy("ingredient").agg(
         F.sort_array(F.collect_list(F.struct("rank", *[c for c in found.columns if c not in ("ingredient", "rank")]))
                      ).alias("results"))
-    return lookup_join(parts, results, "ingredient", "inner").select(
-        key, "pos", "ingredient", F.inline("results"))
+    return lookup_join(parts, results, "ingredient", "inner").select(*parts.columns, F.inline("results"))

@@ -103,8 +103,8 @@ def test_from_raw_text_to_a_search(spark, rows, tmp_path, capsys):
     with pytest.raises(SystemExit, match="no word of"):
         main(["search", "unheard", *files])
     asked, results = str(tmp_path / "asked"), str(tmp_path / "results")
-    sources.write_delimited(rows("query_id text", [("1", "potato-soup"), ("2", "juice")]), asked, "\t")
-    main(["search-batch", asked, results, "--limit", "2", *files])
+    sources.write_delimited(rows("query_id text", [("1", "potato-soup"), ("2", "juice\n")]), asked, "\t")
+    main(["search-batch", asked, results, "--limit", "2", "--multi-line", *files])
     assert sources.read_delimited(spark, results).groupBy("query_id").count().filter("count = 2").count() == 2
 
     queries = spark.createDataFrame([(1, "POTATO soup"), (2, "unheard-of")], "query_id int, text string")
@@ -121,6 +121,12 @@ def test_from_raw_text_to_a_search(spark, rows, tmp_path, capsys):
         ("r2", 0, "juice", 1), ("r2", 0, "juice", 2)]
     assert {"product_name", "similarity"} <= set(by_part.columns)
 
+    recipe = spark.createDataFrame([("r3", "Boil the potato\nsoup; add juice, JUICE and salt.")], "id string, text string")
+    known = rows("word", [("potato soup",), ("soup",), ("juice",), ("Salt",)])
+    mentioned = catalogue.search_recipes(recipe, known, out["products"], out["vectors"], 1, key="id")
+    assert sorted((r.id, r.ingredient, r["count"], r["rank"]) for r in mentioned.collect()) == [
+        ("r3", "juice", 2, 1), ("r3", "potato soup", 1, 1)]
+
 
 def test_clearing_intermediate_tables(spark, rows):
     df = sources.materialize(rows("a", [("1",)]))
