@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tagshelf import sources
 from tagshelf.functions.stopwords import ENGLISH_STOP_WORDS
-from tagshelf.operators import (columns, embed, english, filters, profiles, reports, search, texts,
+from tagshelf.operators import (clusters, columns, embed, english, filters, profiles, reports, search, texts,
                                 tokens)
 from tagshelf.plans import standin
 
@@ -139,6 +139,41 @@ def _recommend_batch(spark: SparkSession, sf: str) -> DataFrame:
     return search.recommend_batch(products, standin.queries(spark, sf), vectors, lower=True, digits=DIGITS)
 
 
+def _clustered(products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The products stored by cluster, and the centres."""
+    paths = [sources.scratch_path(products.sparkSession) for _ in range(2)]
+    dealt, centres = clusters.cluster_products(sources.materialize(products))
+    sources.write_parquet(dealt, paths[0], by="cluster")
+    sources.write_parquet(centres, paths[1])
+    return tuple(sources.read_parquet(products.sparkSession, path) for path in paths)
+
+
+def _topk_similar_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    df = _labelled(spark, sf)
+    best = clusters.top_similar_clustered(*_clustered(df), _first_vector(df), 10, "vec_id", DIGITS)
+    return best.select("vec_id", "similarity")
+
+
+def _recommend_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    products, vectors = _embedded(spark, sf)
+    query = search.text_vector(SEARCH_TEXT, vectors)
+    best = clusters.top_similar_clustered(*_clustered(products), query, digits=DIGITS)
+    return best.select("url", "code", "similarity")
+
+
+def _recommend_batch_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    products, vectors = _embedded(spark, sf)
+    queries = search.query_vectors(standin.queries(spark, sf), vectors, lower=True)
+    return clusters.nearest_clustered(*_clustered(products), queries, digits=DIGITS)
+
+
+def _nearest_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fiftieth stored vector as a query against all."""
+    df = _labelled(spark, sf)
+    asked = df.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return clusters.nearest_clustered(*_clustered(df), asked, key="vec_id", digits=DIGITS)
+
+
 def _match_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     words = standin.table(spark, sf, "benchmark").select(F.explode(texts.text_words("text")).alias("word"))
     return texts.match_vocabulary(standin.table(spark, sf, "conversations"), words, ["conv_id", "turn"])
@@ -264,7 +299,11 @@ def core_queries() -> dict[str, Query]:
         "query_vector": _query_vector,
         "cosine_similarity": _cosine_similarity,
         "topk_similar": _topk_similar,
+        "topk_similar_clustered": _topk_similar_clustered,
+        "nearest_clustered": _nearest_clustered,
         "recommend": _recommend,
+        "recommend_clustered": _recommend_clustered,
+        "recommend_batch_clustered": _recommend_batch_clustered,
         "recommend_display": _recommend_display,
         "recommend_batch": _recommend_batch,
         "query_coverage": _query_coverage,
@@ -508,12 +547,24 @@ def core_oracle_sql() -> dict[str, str]:
                               "select query_id, pos::int as pos, round(value, 6) as value from query_vectors"),
         "cosine_similarity": _COSINE,
         "topk_similar": f"{_COSINE} order by similarity desc, e.vec_id limit 10",
+        "topk_similar_clustered": f"{_COSINE} order by similarity desc, e.vec_id limit 10",
+        "nearest_clustered": """with scores as (
+              select q.vec_id as query_id, e.vec_id, round(list_dot_product(e.embedding::double[], q.embedding::double[])
+                / sqrt(list_dot_product(e.embedding::double[], e.embedding::double[]))
+                / sqrt(list_dot_product(q.embedding::double[], q.embedding::double[])), 6) as similarity
+              from embeddings e join embeddings q on q.vec_id % 50 = 0)
+            select query_id, (row_number() over (partition by query_id order by similarity desc, vec_id))::int as rank,
+              vec_id, similarity from scores qualify rank <= 10""",
         "recommend": one.format("select url, code, similarity from ranked join products using (url) where rank <= 10"),
+        "recommend_clustered": one.format(
+            "select url, code, similarity from ranked join products using (url) where rank <= 10"),
         "recommend_display": one.format(
             f"select {display}, similarity, printf('%.2f', raw * 100) as similarity_text"
             " from ranked join products using (url) where rank <= 10"),
         "recommend_batch": _with(f"{_EMBEDDED}, {_QUERY_VECTORS}, {_SIMILAR}",
                                  "select query_id, rank::int as rank, url, similarity from ranked where rank <= 10"),
+        "recommend_batch_clustered": _with(f"{_EMBEDDED}, {_QUERY_VECTORS}, {_SIMILAR}",
+                                           "select query_id, rank::int as rank, url, similarity from ranked where rank <= 10"),
         "query_coverage": _with(f"{vocabulary}, {_QUERY_WORDS}", """select query_id,
             count(v.word) as known_words, count(w.word) - count(v.word) as unknown_words
             from queries q left join query_words w using (query_id) left join vocab v on v.word = w.word

@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("--min-count", type=int, default=1, help="rows a word needs to be trained")
     job.add_argument("--num-partitions", type=int, default=NUM_PARTITIONS, help="tasks that train")
     job.add_argument("--max-iter", type=int, default=1, help="passes of the training")
+    job.add_argument("--clusters", type=int, help="clusters to store the products by, if --centres is given")
     job.add_argument("--model", required=True)
 
     query = commands.add_parser("search", help="show the products most similar to a text")
@@ -45,6 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     for command in (job, query, batch):
         command.add_argument("--products", required=True, help="embedded products (Parquet)")
         command.add_argument("--vectors", required=True, help="word vectors (Parquet)")
+        command.add_argument("--centres", help="centres of the clusters the products are stored by (Parquet)")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tagshelf").getOrCreate()
@@ -53,16 +55,18 @@ def main(argv: list[str] | None = None) -> None:
         prepared = prepare(raw, args.country, args.threshold, drop_empty=args.drop_empty,
                            min_partitions=args.min_partitions)
         training = {"min_count": args.min_count, "num_partitions": args.num_partitions, "max_iter": args.max_iter}
-        build(prepared, args.model, args.products, args.vectors, train=args.train, **training)
+        build(prepared, args.model, args.products, args.vectors, train=args.train,
+              centres_path=args.centres, clusters=args.clusters, **training)
     elif args.command == "search":
         try:
-            found = search(spark, args.text, args.products, args.vectors, args.limit)
+            found = search(spark, args.text, args.products, args.vectors, args.limit, centres_path=args.centres)
         except UnknownWordsError as unknown:
             raise SystemExit(f"tagshelf: {unknown}") from None
         found.show(args.limit, truncate=False)
     else:
         queries = _read(spark, args.queries, args).select("query_id", "text")
-        write_delimited(search_batch(queries, args.products, args.vectors, args.limit), args.output, args.sep)
+        found = search_batch(queries, args.products, args.vectors, args.limit, centres_path=args.centres)
+        write_delimited(found, args.output, args.sep)
 
 
 def _read(spark: SparkSession, path: str, args: argparse.Namespace) -> DataFrame:

@@ -47,6 +47,39 @@ def block_scorer(sent: Broadcast, k: int, digits: int,
     return scorer
 
 
+def cluster_scorer(sent: Broadcast, k: int, digits: int,
+                   names: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Candidates of each Arrow batch (key, embedding, cluster) for the queries listed for its clusters.
+
+    What is sent: names of the queries, their unit vectors, per cluster the places of the queries to
+    compare, and per query a similarity that ``k`` products are known to reach.
+    """
+
+    def scorer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, queries, lists, known = sent.value
+        least = known.copy()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            batch = batch.take(pc.sort_indices(batch.column(0), null_placement="at_start"))
+            clusters = batch.column(2).to_numpy(zero_copy_only=False)
+            numbers = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
+            units = unit_rows(numbers.reshape(batch.num_rows, -1))
+            for cluster in np.unique(clusters):
+                rows, wanted = np.flatnonzero(clusters == cluster), lists[int(cluster)]
+                for start in range(0, len(wanted), QUERY_TILE):
+                    tile = wanted[start:start + QUERY_TILE]
+                    reached = least[tile]
+                    query, product, similarity = _best_of(queries[tile] @ units[rows].T, reached, k, digits)
+                    least[tile] = reached
+                    if len(query):
+                        yield pa.RecordBatch.from_arrays(
+                            [ids.take(pa.array(tile[query])), batch.column(0).take(pa.array(rows[product])),
+                             pa.array(similarity)], names=list(names))
+
+    return scorer
+
+
 def _best_of(similarity: np.ndarray, least: np.ndarray, k: int,
              digits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Candidates of one batch: row, column and rounded value of at most ``k`` entries per row.

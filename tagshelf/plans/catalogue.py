@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH_STOP_WORDS
+from ..operators.clusters import cluster_products, nearest_clustered, top_similar_clustered
 from ..operators.columns import (drop_all_null_columns, drop_columns_matching, drop_columns_suffix,
                                  drop_null_columns_fixed, drop_unused_columns, with_completeness)
 from ..operators.embed import embed_rows, fit_word_model, word_vectors
 from ..operators.english import english_only
 from ..operators.filters import drop_null_rows, filter_complete, filter_country
 from ..operators.lookup import lookup_join
-from ..operators.search import recommend, recommend_batch, with_display
+from ..operators.search import query_vectors, recommend, recommend_batch, text_vector, with_display
 from ..operators.texts import match_vocabulary, split_ingredients
 from ..operators.tokens import process_tokens
 from ..sources import (load_word_model, materialize, read_parquet, save_word_model, write_parquet)
@@ -53,13 +54,18 @@ def prepare(raw: DataFrame, country: str = "fr", threshold: float = 0.5, *,
 
 
 def build(prepared: DataFrame, model_path: str, products_path: str, vectors_path: str, *,
-          train: bool = False, **training: object) -> Word2VecModel:
+          train: bool = False, centres_path: str | None = None, clusters: int | None = None,
+          **training: object) -> Word2VecModel:
     """Embed prepared products and write them as Parquet, with the word vectors beside them.
 
     The model is loaded from ``model_path``, or trained on the products and
     saved there first; ``training`` is what ``fit_word_model`` takes, which says
     what the driver has to hold. The products are embedded by joining the vectors
     just written, which are broadcast only if they are measured to be small.
+
+    With a ``centres_path`` the products are stored by cluster (``clusters`` of them, see
+    ``cluster_products``), and the centres there: searches that get it read only the clusters
+    that matter.
     """
     prepared = materialize(prepared)
     if train:
@@ -67,28 +73,42 @@ def build(prepared: DataFrame, model_path: str, products_path: str, vectors_path
     model = load_word_model(model_path)
     write_parquet(word_vectors(model), vectors_path)
     vectors = read_parquet(prepared.sparkSession, vectors_path)
-    write_parquet(embed_rows(prepared, vectors), products_path)
+    embedded = embed_rows(prepared, vectors)
+    if centres_path is None:
+        write_parquet(embedded, products_path)
+    else:
+        dealt, centres = cluster_products(materialize(embedded), clusters)
+        write_parquet(dealt, products_path, by="cluster")
+        write_parquet(centres, centres_path)
     return model
 
 
 def search(spark: SparkSession, text: str, products_path: str, vectors_path: str,
-           k: int = 10, *, lower: bool = True, split_hyphens: bool = True) -> DataFrame:
+           k: int = 10, *, centres_path: str | None = None, lower: bool = True,
+           split_hyphens: bool = True) -> DataFrame:
     """The ``k`` products most similar to ``text`` from what ``build`` wrote.
 
     By default the text is treated as tokens are: in lower case, split at hyphens.
     """
-    return recommend(read_parquet(spark, products_path), text, read_parquet(spark, vectors_path), k,
-                     lower=lower, split_hyphens=split_hyphens)
+    products, vectors = read_parquet(spark, products_path), read_parquet(spark, vectors_path)
+    if centres_path is None:
+        return recommend(products, text, vectors, k, lower=lower, split_hyphens=split_hyphens)
+    return top_similar_clustered(products, read_parquet(spark, centres_path),
+                                 text_vector(text, vectors, lower, split_hyphens), k)
 
 
 def search_batch(queries: DataFrame, products_path: str, vectors_path: str, k: int = 10, *,
-                 query_key: str = "query_id", text: str = "text", lower: bool = True,
-                 split_hyphens: bool = True) -> DataFrame:
+                 query_key: str = "query_id", text: str = "text", centres_path: str | None = None,
+                 lower: bool = True, split_hyphens: bool = True) -> DataFrame:
     """``search`` for a table of queries, with the display columns."""
     spark = queries.sparkSession
     products, vectors = read_parquet(spark, products_path), read_parquet(spark, vectors_path)
-    found = recommend_batch(products, queries, vectors, k, query_key=query_key, text=text, lower=lower,
-                            split_hyphens=split_hyphens)
+    if centres_path is None:
+        found = recommend_batch(products, queries, vectors, k, query_key=query_key, text=text, lower=lower,
+                                split_hyphens=split_hyphens)
+    else:
+        asked = query_vectors(queries, vectors, query_key, text, lower, split_hyphens)
+        found = nearest_clustered(products, read_parquet(spark, centres_path), asked, k, query_key=query_key)
     return with_display(found, products)
 
 

@@ -26,9 +26,17 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", *, quote: str = '"
     writer.csv(path)
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    """Write Parquet, replacing what is at ``path``."""
-    df.write.mode("overwrite").parquet(path)
+def write_parquet(df: DataFrame, path: str, *, by: str | None = None) -> None:
+    """Write Parquet, replacing what is at ``path``.
+
+    With ``by`` the rows of one value of that column are in a folder of their own, so a reader that
+    asks for some values opens no other file. Rows are moved for that so that a value has few
+    files; one with very many rows is split over several tasks (by adaptive execution).
+    """
+    if by is None:
+        df.write.mode("overwrite").parquet(path)
+    else:
+        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def save_word_model(model: Word2VecModel, path: str) -> None:

@@ -108,6 +108,16 @@ def test_from_raw_text_to_a_search(spark, rows, tmp_path, capsys):
     assert sources.read_delimited(spark, results).groupBy("query_id").count().filter("count = 2").count() == 2
 
     queries = spark.createDataFrame([(1, "POTATO soup"), (2, "unheard-of")], "query_id int, text string")
+    stored = [str(tmp_path / n) for n in ("by_cluster", "vectors", "centres")]
+    places = [f"--{n}={p}" for n, p in zip(("products", "vectors", "centres"), stored)]
+    main(["build", raw, "--min-partitions=3", "--clusters=3", f"--model={out['model']}", *places])
+    assert sources.read_parquet(spark, stored[0]).count() == 32
+    same = catalogue.search(spark, "juice", *stored[:2], 5, centres_path=stored[2])
+    assert [(r.url, r.similarity) for r in same.collect()] == [(r.url, r.similarity) for r in best.collect()]
+    both = [sorted(map(tuple, catalogue.search_batch(queries, *files, 4, **more).select("query_id", "rank", "url").collect()))
+            for files, more in ((stored[:2], {"centres_path": stored[2]}), ((out["products"], out["vectors"]), {}))]
+    assert both[0] == both[1] and len(both[0]) == 4
+    main(["search", "Potato", "--limit", "3", *places])
     found = catalogue.search_batch(queries, out["products"], out["vectors"], 4)
     assert {r.query_id for r in found.collect()} == {1} and found.count() == 4
     assert set(DISPLAY_COLUMNS) <= set(found.columns)
