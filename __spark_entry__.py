@@ -208,6 +208,28 @@ def _parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_parquet(spark, path)
 
 
+def _stored_products(spark: SparkSession, sf: str, **options) -> str:
+    path = sources.scratch_path(spark)
+    sources.write_parquet(standin.products(spark, sf), path, **options)
+    return path
+
+
+def _parquet_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored products in files of one size, sorted by score, and those over the threshold read back."""
+    path = sources.scratch_path(spark)
+    sources.write_parquet(_scored(spark, sf), path, order=["completeness"], file_bytes=4 << 20, group_bytes=1 << 20)
+    return filters.filter_complete(sources.read_parquet(spark, path))
+
+
+def _embed_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """A delivery against an older one: some rows are new, some have other tokens."""
+    vectors = _vectors(spark, sf)
+    products = sources.materialize(standin.tokenised(spark, sf))
+    other = F.when(F.col("code") % 3 == 1, F.slice("tokens", 1, 1)).otherwise(F.col("tokens"))
+    older = embed.embed_rows(products.filter("code % 4 <> 2").withColumn("tokens", other), vectors)
+    return _long(embed.embed_changed(products, sources.materialize(older), vectors), "url", "embedding")
+
+
 def _trained(spark: SparkSession, sf: str) -> tuple[DataFrame, object]:
     df = standin.tokenised(spark, sf)
     return df, embed.fit_word_model(df)
@@ -256,11 +278,14 @@ def core_queries() -> dict[str, Query]:
         "csv_roundtrip": _csv_roundtrip,
         "csv_gzip_roundtrip": _csv_gzip_roundtrip,
         "parquet_roundtrip": _parquet_roundtrip,
+        "parquet_ordered": _parquet_ordered,
         "w2v_save_load": _w2v_save_load,
         # profiles
         "preview": _on_products(profiles.preview, order=["url"]),
         "schema_profile": _on_products(profiles.schema_profile),
         "null_profile": _on_products(profiles.null_profile),
+        "stored_null_profile": lambda spark, sf: sources.stored_null_profile(spark, _stored_products(spark, sf)),
+        "stored_filled_columns": lambda spark, sf: sources.read_filled_columns(spark, _stored_products(spark, sf)),
         "stage_counts": _on_products(profiles.stage_counts),
         "completeness_stats": lambda spark, sf: _rounded_stats(_scored(spark, sf)),
         # columns
@@ -296,6 +321,7 @@ def core_queries() -> dict[str, Query]:
         "w2v_transform": _w2v_transform,
         "word_vectors": _word_vectors,
         "embed_rows": _embed_rows,
+        "embed_changed": _embed_changed,
         "query_vector": _query_vector,
         "cosine_similarity": _cosine_similarity,
         "topk_similar": _topk_similar,
@@ -484,6 +510,7 @@ def core_oracle_sql() -> dict[str, str]:
         "csv_roundtrip": _as_written_to_text(),
         "csv_gzip_roundtrip": _as_written_to_text(),
         "parquet_roundtrip": _with(_P, "select * from products"),
+        "parquet_ordered": _with(_SCORED, "select * from scored where completeness > 0.5"),
         "w2v_save_load": _with(vocabulary, "select word, true as same from vocab"),
 
         "preview": _with(_P, "select * from products order by url limit 20"),
@@ -491,6 +518,8 @@ def core_oracle_sql() -> dict[str, str]:
             lambda i, c: f"""{i}::bigint as position, '{c}' as "column", 'string' as data_type,
                 {'100g' in c} as is_nutrition, count("{c}") as non_null"""),
         "null_profile": _per_column(lambda i, c: f"""'{c}' as "column", count("{c}") as non_null"""),
+        "stored_null_profile": _per_column(lambda i, c: f"""'{c}' as "column", count("{c}") as non_null"""),
+        "stored_filled_columns": _products_without(lambda c: c in ("cities", "allergens_en")),
         "stage_counts": _stage_counts(),
         "completeness_stats": _with(_SCORED, """select count(completeness) as "count",
             round(avg(completeness), 6) as mean, round(stddev_samp(completeness), 6) as stddev,
@@ -543,6 +572,7 @@ def core_oracle_sql() -> dict[str, str]:
                                                    " len(tokens) > 0 as non_zero from tokenised where tokens is not null"),
         "word_vectors": _with(vocabulary, "select word, true as same, true as non_zero from vocab"),
         "embed_rows": _with(_EMBEDDED, "select url, pos::int as pos, round(value, 6) as value from embedded"),
+        "embed_changed": _with(_EMBEDDED, "select url, pos::int as pos, round(value, 6) as value from embedded"),
         "query_vector": _with(f"{_VECTORS}, {_QUERY_VECTORS}",
                               "select query_id, pos::int as pos, round(value, 6) as value from query_vectors"),
         "cosine_similarity": _COSINE,

@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators.embed import NUM_PARTITIONS
+from .operators.embed import MAX_WORDS, NUM_PARTITIONS
 from .operators.search import UnknownWordsError
 from .plans.catalogue import build, prepare, search, search_batch
 from .sources import read_delimited, write_delimited
@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("--threshold", type=float, default=0.5)
     job.add_argument("--train", action="store_true", help="train the model instead of loading it")
     job.add_argument("--min-count", type=int, default=1, help="rows a word needs to be trained")
+    job.add_argument("--max-words", type=int, default=MAX_WORDS, help="words the driver may hold while training")
     job.add_argument("--num-partitions", type=int, default=NUM_PARTITIONS, help="tasks that train")
     job.add_argument("--max-iter", type=int, default=1, help="passes of the training")
     job.add_argument("--clusters", type=int, help="clusters to store the products by, if --centres is given")
@@ -54,7 +55,8 @@ def main(argv: list[str] | None = None) -> None:
         raw = _read(spark, args.input, args)
         prepared = prepare(raw, args.country, args.threshold, drop_empty=args.drop_empty,
                            min_partitions=args.min_partitions)
-        training = {"min_count": args.min_count, "num_partitions": args.num_partitions, "max_iter": args.max_iter}
+        training = {"min_count": args.min_count, "num_partitions": args.num_partitions, "max_iter": args.max_iter,
+                    "max_words": args.max_words}
         build(prepared, args.model, args.products, args.vectors, train=args.train,
               centres_path=args.centres, clusters=args.clusters, **training)
     elif args.command == "search":

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 from ..sources.scratch import materialize
+from ..sources.sizes import row_bytes, size_of_rows
 
 # The lookup side is broadcast up to this many bytes of its rows.
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -54,38 +54,13 @@ def small_join(df: DataFrame, few: DataFrame, key: str, *,
     return _salted_join(few, df, key, "inner", hot_rows, broadcast_bytes).drop("_salt")
 
 
-def row_bytes(df: DataFrame) -> int:
-    """What the rows of ``df`` take in memory, rounded up."""
-    return df.agg(_size(df)).first()[0] or 0
-
-
 def _written(df: DataFrame) -> tuple[DataFrame, int]:
     """``df`` written to the shared folder, and its ``row_bytes`` seen while writing."""
     seen = Observation()
-    table = materialize(df.observe(seen, _size(df).alias("bytes")))
+    table = materialize(df.observe(seen, size_of_rows(df).alias("bytes")))
     return table, seen.get["bytes"] or 0
 
 
-def _size(df: DataFrame) -> Column:
-    return F.sum(sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(32)))
-
-
-def _width(column: Column, kind: DataType) -> Column:
-    """Bytes of one value in a row; 16 for anything of fixed width."""
-    if isinstance(kind, (StringType, BinaryType)):
-        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
-    if isinstance(kind, ArrayType):
-        inner = kind.elementType
-        if isinstance(inner, (StringType, BinaryType, ArrayType, MapType, StructType)):
-            items = F.octet_length(F.to_json(column)) + 16 * F.size(column)
-        else:
-            items = 8 * F.size(column)
-        return F.coalesce(items, F.lit(0)) + 32
-    if isinstance(kind, (MapType, StructType)):
-        return 4 * F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)) + 64
-    return F.lit(16)
-
-
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     """Every key with at least ``hot_rows`` rows, and the ``_salts`` its rows are spread over.
 

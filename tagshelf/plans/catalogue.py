@@ -12,7 +12,7 @@ from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..operators.clusters import cluster_products, nearest_clustered, top_similar_clustered
 from ..operators.columns import (drop_all_null_columns, drop_columns_matching, drop_columns_suffix,
                                  drop_null_columns_fixed, drop_unused_columns, with_completeness)
-from ..operators.embed import embed_rows, fit_word_model, word_vectors
+from ..operators.embed import embed_changed, embed_rows, fit_word_model, word_vectors
 from ..operators.english import english_only
 from ..operators.filters import drop_null_rows, filter_complete, filter_country
 from ..operators.lookup import lookup_join
@@ -83,6 +83,27 @@ def build(prepared: DataFrame, model_path: str, products_path: str, vectors_path
     return model
 
 
+def update(prepared: DataFrame, products_path: str, vectors_path: str, new_path: str, *,
+           centres_path: str | None = None, clusters: int | None = None, key: str = "url") -> None:
+    """Embed a new delivery with the vectors of an earlier ``build`` and write it to ``new_path``.
+
+    The result is that of a whole build with the same model. Rows whose ``key`` and tokens are in
+    the products at ``products_path`` take over their embeddings; the others are embedded. Clusters
+    are found anew if there is a ``centres_path``.
+    """
+    if new_path.rstrip("/") == products_path.rstrip("/"):
+        raise ValueError("the new products are made from the old ones: write them to another path")
+    spark = prepared.sparkSession
+    stored = read_parquet(spark, products_path)
+    embedded = embed_changed(materialize(prepared), stored, read_parquet(spark, vectors_path), key)
+    if centres_path is None:
+        write_parquet(embedded, new_path)
+    else:
+        dealt, centres = cluster_products(materialize(embedded), clusters)
+        write_parquet(dealt, new_path, by="cluster")
+        write_parquet(centres, centres_path)
+
+
 def search(spark: SparkSession, text: str, products_path: str, vectors_path: str,
            k: int = 10, *, centres_path: str | None = None, lower: bool = True,
            split_hyphens: bool = True) -> DataFrame:

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .sizes import row_bytes
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", *, quote: str = '"',
@@ -26,17 +32,38 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", *, quote: str = '"
     writer.csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, *, by: str | None = None) -> None:
+def write_parquet(df: DataFrame, path: str, *, by: str | None = None, order: Sequence[str] = (),
+                  file_bytes: int | None = None, group_bytes: int | None = None) -> None:
     """Write Parquet, replacing what is at ``path``.
 
     With ``by`` the rows of one value of that column are in a folder of their own, so a reader that
     asks for some values opens no other file. Rows are moved for that so that a value has few
     files; one with very many rows is split over several tasks (by adaptive execution).
+
+    With ``file_bytes`` the rows are measured and dealt out to as many files as that makes of what
+    they take in memory, evenly, however many tasks there were. With ``order`` files take ranges of
+    these columns, and rows are sorted in them: a reader that filters by the first of them
+    skips the files and row groups (of ``group_bytes``) that can't have a match. One value with
+    very many rows is divided over files by the rest of its rows. ``df`` is read several times.
     """
-    if by is None:
-        df.write.mode("overwrite").parquet(path)
-    else:
-        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+    writer_options = {} if group_bytes is None else {"parquet.block.size": str(group_bytes)}
+    if by is not None:
+        if order or file_bytes:
+            raise ValueError("folders by value have files of their own: leave out order and file_bytes")
+        df.hint("rebalance", by).write.mode("overwrite").options(**writer_options).partitionBy(by).parquet(path)
+        return
+    if file_bytes is not None:
+        df = _in_files(df, max(1, math.ceil(row_bytes(df) / file_bytes)), order)
+    elif order:
+        df = df.sortWithinPartitions(*order)
+    df.write.mode("overwrite").options(**writer_options).parquet(path)
+
+
+def _in_files(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    if not order:
+        return df.repartition(n)
+    rest = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+    return df.repartitionByRange(n, *order, rest).sortWithinPartitions(*order)
 
 
 def save_word_model(model: Word2VecModel, path: str) -> None:
