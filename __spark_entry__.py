@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -17,13 +18,13 @@ from tagshelf.operators import (clusters, columns, embed, english, filters, prof
                                 tokens)
 from tagshelf.plans import standin
 
-# The training-data operators and their pipeline can be taken away as a whole.
+# The training-data operators and their pipeline can be taken away as a whole, and need
+# libraries that the others do without.
 try:
     import corpus_pipeline
     from tagshelf.llm import entries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "tagshelf.llm"):
-        raise
+except ImportError as missing:
+    logging.getLogger("tagshelf").warning("without the training-data operators: %s", missing)
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
