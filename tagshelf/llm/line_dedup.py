@@ -57,31 +57,36 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3)
     becomes empty). Columns of ``docs`` other than ``doc_id`` and ``text`` pass through;
     ``n_lines`` and ``n_dropped`` are replaced if there already.
     """
-    doc, text_hash, dropped = (fresh(docs, name) for name in ("of_doc", "of_text", "dropped"))
+    doc, text_hash, dropped, lines = (fresh(docs, name) for name in ("of_doc", "of_text", "dropped", "lines"))
     bitmaps = line_bitmaps(docs, min_chars, min_docs).toDF(doc, text_hash, dropped)
     texts = docs.withColumn("text", text_or_empty())
     both = texts.join(bitmaps, F.col("doc_id").eqNullSafe(F.col(doc))
                       & (F.xxhash64("text") == F.col(text_hash)), "left")
-    lines = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda line, i: ~_is_dropped(dropped, i)), "\n")
+    # A column of its own: a task splits a text once, and then goes by the places of its lines.
+    split = both.withColumn(lines, F.split("text", "\n", -1))
+    places = F.sequence(F.lit(0), F.size(lines) - 1)
+    left = F.transform(F.array_except(places, _places(dropped)), lambda place: F.get(lines, place))
     n_dropped = F.aggregate(dropped, F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w["bits"]))
-    return (both.withColumns({"n_lines": F.size(lines).cast("long"),
-                              "n_dropped": F.coalesce(n_dropped, F.lit(0).cast("long")),
-                              "text": F.when(F.col(dropped).isNull(), F.col("text")).otherwise(kept)})
-            .drop(doc, text_hash, dropped))
+    return (split.withColumns({"n_lines": F.size(lines).cast("long"),
+                               "n_dropped": F.coalesce(n_dropped, F.lit(0).cast("long")),
+                               "text": F.when(F.col(dropped).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))})
+            .drop(doc, text_hash, dropped, lines))
 
 
-def _is_dropped(dropped: str, i: Column) -> Column:
-    bit = F.pmod(i, F.lit(WORD_BITS))
-    return F.exists(dropped, lambda w: (w["word"] == F.floor(i / WORD_BITS))
-                    & (F.getbit(w["bits"], bit) == 1))
+def _places(dropped: str) -> Column:
+    """The places a sparse bitmap marks."""
+    bits = F.sequence(F.lit(0), F.lit(WORD_BITS - 1))
+    return F.flatten(F.transform(dropped, lambda w: F.transform(
+        F.filter(bits, lambda bit: F.getbit(w["bits"], bit) == 1), lambda bit: (w["word"] * WORD_BITS + bit).cast("int"))))
 
 
 def _long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(line, doc_id, text_hash, pos, chunk) of each line whose key is long enough."""
     text = text_or_empty()
     keys = F.transform(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(WHITE_SPACE)))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(keys).alias("pos", "key"))
+    # The text is hashed before its lines are dealt out, or each of them would carry and hash it.
+    split = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), keys.alias("keys"))
+    rows = split.select("doc_id", "text_hash", F.posexplode("keys").alias("pos", "key"))
     key = ascii_lower(F.col("key"))
     return rows.filter(F.char_length("key") >= min_chars).select(
         F.struct(F.xxhash64(key).alias("a"), F.hash(key).alias("b")).alias("line"),
