@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..operators.lookup import lookup_join
 from ..sources.scratch import materialize
-from .common import ArrowFunction, by_value, id_and_text, texts_of
+from .common import ArrowFunction, by_value, giving_back, id_and_text, texts_of
 
 by_value(__name__)
 
@@ -58,6 +58,9 @@ SHARED = 1.5
 # At most so many entries, the heaviest first.
 MAX_ENTRIES = 20_000
 
+# Words whose weight a task keeps at hand.
+KNOWN_WORDS = 200_000
+
 KINDS = ("insult", "aimed_insult", "negated_insult", "reported_insult",
          "threat", "aimed_threat", "negated_threat", "reported_threat")
 FEATURES = (*KINDS, "heaviest", "matches")
@@ -153,7 +156,7 @@ def _weight(word: str, lexicon: Mapping[str, float], known: dict[str, float]) ->
     """The heaviest of a word and its beginnings, kept in ``known``; grammar words weigh nothing."""
     weight = known.get(word)
     if weight is None:
-        if len(known) > 1_000_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         plain = word in NEGATIONS or word in REPORTS or word in TARGETS
         weight = 0.0 if plain else max(lexicon.get(e, 0.0) for e in entries_of(word))
@@ -235,7 +238,7 @@ def _counter(wanted: frozenset[str] | None) -> ArrowFunction:
                 counts.update(found if wanted is None else found & wanted)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["entry", "n"])
-    return run
+    return giving_back(run)
 
 
 def _featurer(lexicon: dict[str, float], keep: list[str]) -> ArrowFunction:
@@ -245,7 +248,7 @@ def _featurer(lexicon: dict[str, float], keep: list[str]) -> ArrowFunction:
             rows = [matched(t.decode(), lexicon, known, machine) for t in texts_of(batch)]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.list_(pa.float64()))], [*keep, "features"])
-    return run
+    return giving_back(run)
 
 
 # ---- scoring ---------------------------------------------------------------
@@ -283,4 +286,4 @@ def _rejecter(model: Model, at: int) -> ArrowFunction:
             rows = (matched(t.decode(), model.lexicon, known, machine) for t in texts_of(batch, f"c{at}"))
             clean = [sum(map(operator.mul, row, model.weights), model.intercept) < 0 for row in rows]
             yield batch.filter(pa.array(clean, pa.bool_()))
-    return run
+    return giving_back(run)
