@@ -265,6 +265,12 @@ def _w2v_save_load(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("word", F.coalesce(F.col("vector") == F.col("loaded"), F.lit(False)).alias("same"))
 
 
+def _bounded_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The first products as records on the driver, and a table of these again."""
+    found = profiles.records(standin.products(spark, sf).orderBy("url"), 20)
+    return spark.createDataFrame(found, standin.products(spark, sf).schema)
+
+
 def queries() -> dict[str, Query]:
     """Every query by name, each a function of the session and the folder of the tables."""
     if llm is None:
@@ -283,6 +289,7 @@ def core_queries() -> dict[str, Query]:
         "w2v_save_load": _w2v_save_load,
         # profiles
         "preview": _on_products(profiles.preview, order=["url"]),
+        "bounded_records": _bounded_records,
         "schema_profile": _on_products(profiles.schema_profile),
         "null_profile": _on_products(profiles.null_profile),
         "stored_null_profile": lambda spark, sf: sources.stored_null_profile(spark, _stored_products(spark, sf)),
@@ -515,6 +522,7 @@ def core_oracle_sql() -> dict[str, str]:
         "w2v_save_load": _with(vocabulary, "select word, true as same from vocab"),
 
         "preview": _with(_P, "select * from products order by url limit 20"),
+        "bounded_records": _with(_P, "select * from products order by url limit 20"),
         "schema_profile": _per_column(
             lambda i, c: f"""{i}::bigint as position, '{c}' as "column", 'string' as data_type,
                 {'100g' in c} as is_nutrition, count("{c}") as non_null"""),
