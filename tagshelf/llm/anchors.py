@@ -10,9 +10,11 @@ windows with one anchor are a run, and the text that a run's windows cover is it
    alone in the corpus, and so are all its windows.
 2. Equal spans among the other runs are one class, with its count and its smallest
    document, before any text is shuffled.
-3. Anchors with several classes have one text per class compared by an algorithm on
-   suffixes (a suffix tree or a sorted suffix array), which tells which windows of
-   different classes are equal.
+3. Besides its anchor a window holds, before the anchor or behind it, half of its other
+   symbols at least. So a class whose text beside the anchor, so far on either side, is that of no
+   other class of the anchor has no equal window in any, and drops out by its hashes.
+   Of the other classes one text each is compared by an algorithm on suffixes (a suffix
+   tree or a sorted suffix array), which tells which windows of different classes are equal.
 4. An anchor of very many classes is divided first: its windows by how deep the anchor
    lies in them, into two halves, and each half by the text that all its windows hold
    around the anchor. What is equal then is one class again, and parts that are still
@@ -20,7 +22,7 @@ windows with one anchor are a run, and the text that a run's windows cover is it
    window, which is one class.
 5. Each run takes the result of its class, each document those of its runs.
 
-Nothing is left out: step 1 only drops runs that cannot have an equal window.
+Nothing is left out: steps 1 and 3 only drop what cannot have an equal window.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
 from ..sources.scratch import materialize
-from .common import ArrowFunction, by_value, text_or_empty, texts_of
+from .common import ArrowFunction, by_value, giving_back, text_or_empty, texts_of
 
 by_value(__name__)
 
@@ -126,7 +128,8 @@ def repeated_windows(rows: DataFrame, shuffled: DataFrame, alphabet: Alphabet, c
     wanted = near.filter("key is null").groupBy("doc").agg(F.collect_set("pos").alias("wanted"))
     found = (shuffled.join(wanted, "doc").select(*ROW, "wanted")
              .mapInArrow(_chooser(alphabet),
-                         _schema("key long, span long, doc long, row int, pos int, windows int, place int")))
+                         _schema("key long, span long, doc long, row int, pos int, windows int, place int")
+                         + ", before long, behind long"))
     # Only an anchor of so many runs can have so many classes.
     many = near.filter("key is not null").groupBy("key").agg(F.sum("runs").alias("runs")).filter(
         F.col("runs") > GROUP_SPANS).select("key")
@@ -135,12 +138,13 @@ def repeated_windows(rows: DataFrame, shuffled: DataFrame, alphabet: Alphabet, c
         found = materialize(found)
     # All that is made of the classes uses both columns, so they are aggregated once.
     classes = found.groupBy("key", "span").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "row", "pos", "windows", "place")).alias("first"))
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "row", "pos", "windows", "place")).alias("first"),
+        F.any_value("before").alias("before"), F.any_value("behind").alias("behind"))
     if crowded:
         classes = materialize(classes)
-    several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), worth.alias("worth")).filter(
-        "classes > 1 and worth")
-    compared = classes.join(several.select("key"), "key", "left_semi")
+    compared = _with_partners(classes, worth)
+    if crowded:
+        compared = materialize(compared)
 
     def fetched(classes: DataFrame) -> DataFrame:
         asked = (classes.select("key", "span", "n", "first.*").groupBy("doc")
@@ -148,7 +152,7 @@ def repeated_windows(rows: DataFrame, shuffled: DataFrame, alphabet: Alphabet, c
         return shuffled.join(asked, "doc").select(*ROW, "asked").mapInArrow(
             _fetcher(alphabet), _schema("key long, span long, doc long, n long, windows int, place int, piece binary"))
 
-    large = _large(several) if crowded else None
+    large = _large(compared.groupBy("key").agg(F.count(F.lit(1)).alias("classes"))) if crowded else None
     if large is None:
         ranges = _compared(fetched(compared), compare)
     else:
@@ -163,6 +167,19 @@ def repeated_windows(rows: DataFrame, shuffled: DataFrame, alphabet: Alphabet, c
             .groupBy("doc").agg(F.collect_list("gone").alias("gone")))
 
 
+def _with_partners(classes: DataFrame, worth: Column) -> DataFrame:
+    """The classes that share the text before or behind their anchor with another one."""
+    sides = classes.select("key", "span", "n", F.struct(F.col("first.doc").alias("doc")).alias("first"),
+                           F.explode(F.array("before", "behind")).alias("side")).filter("side is not null")
+    paired = sides.groupBy("side").agg(F.count(F.lit(1)).alias("classes"), worth.alias("worth")).filter(
+        "classes > 1 and worth")
+    # By a name of its own, so that a side that very many classes have can be split, as in _decided.
+    name = F.xxhash64("side").alias("name")
+    partners = (sides.select("key", "span", name).join(paired.select(name), "name", "left_semi")
+                .select("key", "span").distinct())
+    return classes.join(partners, ["key", "span"], "left_semi")
+
+
 def _decided(members: DataFrame, told: DataFrame, names: Sequence[str], at: str, whole: Column) -> DataFrame:
     """(``names``, ranges) of the members of the classes in ``told``, moved by the column ``at``."""
     every = F.array(F.struct(F.lit(0).alias("start"), F.col("windows").alias("windows")))
@@ -235,6 +252,8 @@ class Runs(NamedTuple):
     place: np.ndarray
     key: np.ndarray
     span: np.ndarray
+    before: np.ndarray
+    behind: np.ndarray
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -302,10 +321,20 @@ def runs_of(block: list[tuple[int, int, np.ndarray]], length: int, gram: int) ->
     place = anchor[starts] - starts
     span = (sums[ends_of_span] - sums[starts]) * _DOWN[starts]
     span = mixed(span ^ mixed((windows << PLACE_BITS | place).astype(np.uint64)))
+    # The text beside the anchor, half of a window's other symbols; 0 where the span has less.
+    half, at = (length - gram + 1) // 2, anchor[starts]
+    before = _beside(sums, at - half, at, place >= half, 1)
+    behind = _beside(sums, at + gram, at + gram + half, length - gram - place + windows - 1 >= half, 2)
     which = piece_of[starts]
     owners, offsets = np.array([b[0] for b in block]), np.array([b[1] for b in block])
     return Runs(owners[which], starts - (ends - sizes)[which] + offsets[which], windows, place,
-                grams[anchor[starts]], span)
+                grams[anchor[starts]], span, *(np.where(s, mixed(s ^ mixed(grams[at])), 0) for s in (before, behind)))
+
+
+def _beside(sums: np.ndarray, start: np.ndarray, stop: np.ndarray, there: np.ndarray, side: int) -> np.ndarray:
+    start, stop = np.where(there, start, 0), np.where(there, stop, 0)
+    text = mixed((sums[stop] - sums[start]) * _DOWN[start] + np.uint64(side))
+    return np.where(there, text | np.uint64(1), np.uint64(0))
 
 
 def _scanner(alphabet: Alphabet) -> ArrowFunction:
@@ -317,7 +346,7 @@ def _scanner(alphabet: Alphabet) -> ArrowFunction:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r.key.view(np.int64)), pa.array(docs[r.owner]), pa.array(r.pos.astype(np.int32))],
                     ["key", "doc", "pos"])
-    return run
+    return giving_back(run)
 
 
 def _neighbours(many: int) -> ArrowFunction:
@@ -364,11 +393,11 @@ def _neighbours(many: int) -> ArrowFunction:
         if held is not None:
             yield kept(held, before, None)
             yield counted(open_keys, open_runs)
-    return run
+    return giving_back(run)
 
 
 def _chooser(alphabet: Alphabet) -> ArrowFunction:
-    names = ["key", "span", "doc", "row", "pos", "windows", "place"]
+    names = ["key", "span", "doc", "row", "pos", "windows", "place", "before", "behind"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -384,8 +413,9 @@ def _chooser(alphabet: Alphabet) -> ArrowFunction:
                     [pa.array(r.key[keep].view(np.int64)), pa.array(r.span[keep].view(np.int64)),
                      pa.array(docs[r.owner[keep]]), pa.array(rows[r.owner[keep]]),
                      pa.array(r.pos[keep].astype(np.int32)), pa.array(r.windows[keep].astype(np.int32)),
-                     pa.array(r.place[keep].astype(np.int32))], names)
-    return run
+                     pa.array(r.place[keep].astype(np.int32)),
+                     *[pa.array(side[keep].view(np.int64), mask=side[keep] == 0) for side in (r.before, r.behind)]], names)
+    return giving_back(run)
 
 
 def _fetcher(alphabet: Alphabet) -> ArrowFunction:
@@ -400,7 +430,7 @@ def _fetcher(alphabet: Alphabet) -> ArrowFunction:
                 places = list(zip(pos.tolist(), (pos + windows - 1 + alphabet.length).tolist()))
                 yield pa.RecordBatch.from_arrays(
                     [*[asked.field(c) for c in names[:-1]], pa.array(alphabet.piece(text, places), pa.binary())], names)
-    return run
+    return giving_back(run)
 
 
 def _divider(alphabet: Alphabet) -> ArrowFunction:
@@ -430,7 +460,7 @@ def _divider(alphabet: Alphabet) -> ArrowFunction:
                                  digest(stop - start, place - start, part), stop - start, place - start, a, b, part))
             values = zip(*rows) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
-    return run
+    return giving_back(run)
 
 
 def _comparer(compare: Compare) -> ArrowFunction:
@@ -469,7 +499,7 @@ def _comparer(compare: Compare) -> ArrowFunction:
                     size = sum(b.nbytes for b in held)
         if held:
             yield results(pa.Table.from_batches(held))
-    return run
+    return giving_back(run)
 
 
 def covered(gone: pa.Scalar, row: pa.Scalar, length: int, n: int) -> np.ndarray:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from .anchors import ROW, Alphabet, Spans, covered, packed, repeated_windows, rows_of, unpacked
-from .common import ArrowFunction, by_value
+from .common import ArrowFunction, by_value, giving_back
 
 by_value(__name__)
 
@@ -106,7 +106,7 @@ def _remover(window: int) -> ArrowFunction:
                 kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g]) if len(edges) else b" ".join(words)
                 rows.append((len(words), int(gone.sum()), [{"start": a, "end": b} for a, b in edges.tolist()], kept))
             yield removal_batch(batch, rows, ["n_words", "n_removed", "spans", "kept"])
-    return run
+    return giving_back(run)
 
 
 def removal_batch(batch: pa.RecordBatch, rows: list[tuple], names: list[str]) -> pa.RecordBatch:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import ROW, Alphabet, Spans, covered, mixed, packed, repeated_windows, rows_of, unpacked
-from .common import ArrowFunction, by_value
+from .common import ArrowFunction, by_value, giving_back
 from .substring_dedup import removal_batch
 
 by_value(__name__)
@@ -155,4 +155,4 @@ def _remover(length: int) -> ArrowFunction:
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 rows.append((len(text), int(gone.sum()), [{"start": a, "end": b} for a, b in edges.tolist()], kept))
             yield removal_batch(batch, rows, ["n_bytes", "n_removed", "spans", "kept"])
-    return run
+    return giving_back(run)
