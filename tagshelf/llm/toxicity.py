@@ -13,13 +13,14 @@ from __future__ import annotations
 import math
 import operator
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
 import regex
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Matrices
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +64,13 @@ KNOWN_WORDS = 200_000
 
 KINDS = ("insult", "aimed_insult", "negated_insult", "reported_insult",
          "threat", "aimed_threat", "negated_threat", "reported_threat")
-FEATURES = (*KINDS, "heaviest", "matches")
+# What a document is scored by, and the least weight of each. A match counts as one of its kind
+# and of those that ask for less: an aimed one is direct, a direct one is a match. So with
+# no weight below 0 the order is that of the grammar, whatever the labels say: aimed, direct
+# (more by what is here at least), then negated and reported ones; and threats count
+# where no label tells of any.
+FEATURES = {"insult": 0.0, "direct_insult": 0.5, "aimed_insult": 0.0,
+            "threat": 0.0, "direct_threat": 0.5, "aimed_threat": 0.25, "heaviest": 0.0, "matches": 0.0}
 
 
 class Model(NamedTuple):
@@ -123,7 +130,7 @@ def grammar() -> Transducer:
 
 
 def matched(text: str, lexicon: Mapping[str, float], known: dict[str, float], machine: Transducer) -> list[float]:
-    """``FEATURES`` of one text: sums of weights by kind of match, the heaviest, and their number."""
+    """Sums of the weights of a text's matches by kind; the heaviest direct one, and the number of these."""
     lowered = text.lower()
     hits = {w for w in set(regex.findall(WORD, lowered)) if _weight(w, lexicon, known) or w in THREATS}
     found = dict.fromkeys(KINDS, 0.0)
@@ -138,8 +145,22 @@ def matched(text: str, lexicon: Mapping[str, float], known: dict[str, float], ma
             if kind in found:
                 weight = known.get(token) or 1.0
                 found[kind] += weight
-                heaviest, n = max(heaviest, weight), n + 1
-    return [math.log1p(found[k]) for k in KINDS] + [heaviest, math.log1p(n)]
+                if not kind.startswith(("negated", "reported")):
+                    heaviest, n = max(heaviest, weight), n + 1
+    return [*found.values(), heaviest, n]
+
+
+def evidence(found: Sequence[float]) -> list[float]:
+    """``FEATURES`` of a text from its matches."""
+    by_kind = dict(zip(KINDS, found))
+    out = []
+    for what in ("insult", "threat"):
+        aimed = by_kind[f"aimed_{what}"]
+        direct = aimed + by_kind[what]
+        every = direct + by_kind[f"negated_{what}"] + by_kind[f"reported_{what}"]
+        out += [math.log1p(every), math.log1p(direct), math.log1p(aimed)]
+    heaviest, n = found[len(KINDS):]
+    return [*out, heaviest, math.log1p(n)]
 
 
 def _symbol(token: str, hits: set[str], known: Mapping[str, float]) -> str:
@@ -194,8 +215,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     features = materialize(texts.mapInArrow(
         _featurer(lexicon, ["toxic"]), "toxic boolean, features array<double>"))
     table = features.select(F.col("toxic").cast("double").alias("label"), array_to_vector("features").alias("features"))
-    fitted = LogisticRegression(regParam=1e-3, maxIter=50).fit(table)
-    return Model(lexicon, fitted.coefficients.toArray().tolist(), float(fitted.intercept))
+    least = Matrices.dense(1, len(FEATURES), list(FEATURES.values()))
+    fitted = LogisticRegression(regParam=1e-3, maxIter=50, lowerBoundsOnCoefficients=least).fit(table)
+    # What no labelled text has is left at 0 by the fit.
+    weights = [max(w, at_least) for w, at_least in zip(fitted.coefficients.toArray().tolist(), FEATURES.values())]
+    return Model(lexicon, weights, float(fitted.intercept))
 
 
 def _lexicon(texts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
@@ -245,7 +269,7 @@ def _featurer(lexicon: dict[str, float], keep: list[str]) -> ArrowFunction:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, known = grammar(), {}
         for batch in batches:
-            rows = [matched(t.decode(), lexicon, known, machine) for t in texts_of(batch)]
+            rows = [evidence(matched(t.decode(), lexicon, known, machine)) for t in texts_of(batch)]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.list_(pa.float64()))], [*keep, "features"])
     return giving_back(run)
@@ -283,7 +307,7 @@ def _rejecter(model: Model, at: int) -> ArrowFunction:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, known = grammar(), {}
         for batch in batches:
-            rows = (matched(t.decode(), model.lexicon, known, machine) for t in texts_of(batch, f"c{at}"))
+            rows = (evidence(matched(t.decode(), model.lexicon, known, machine)) for t in texts_of(batch, f"c{at}"))
             clean = [sum(map(operator.mul, row, model.weights), model.intercept) < 0 for row in rows]
             yield batch.filter(pa.array(clean, pa.bool_()))
     return giving_back(run)
