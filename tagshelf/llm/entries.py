@@ -17,6 +17,7 @@ from .common import text_or_empty
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -67,7 +68,8 @@ def op8_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
 
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     ranks = bpe.read_ranks(spark, public_tokenizers.path(RANK_FILE))
-    return quality.quality(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
+    pieces = quality.read_pieces(spark, public_tokenizers.path(PIECE_FILE))
+    return quality.quality(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN, pieces)
 
 
 def op10_warc(spark: SparkSession, sf: str) -> DataFrame:

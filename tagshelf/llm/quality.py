@@ -1,8 +1,8 @@
 """Quality rules: how well public vocabularies fit a text, and plain rules before that.
 
-Tokens of a byte-level vocabulary are counted per text: characters per token, the
-share of tokens that are no whole characters, and the entropy of the tokens. A band
-per script, or per language where given, tells which values are rejected.
+Tokens of a byte-level vocabulary are counted per text: characters per token, and the entropy
+of the tokens. A vocabulary of pieces with byte fallback tells how much of a text it has to
+spell in bytes. A band per script, or per language where given, tells which values are rejected.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import regex
+import sentencepiece
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import codec, encode_text
@@ -33,7 +34,7 @@ MIN_TOKENS = 50
 
 
 class Band(NamedTuple):
-    """Values outside are rejected. Entropy is in bits per token."""
+    """Values outside are rejected. Entropy is in bits per token; what falls back is a share of the bytes."""
 
     min_chars_per_token: float
     max_chars_per_token: float
@@ -62,7 +63,19 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 _RATES = ("chars_per_token", "fallback_share", "token_entropy")
 
 
-def quality(docs: DataFrame, ranks: Broadcast, pattern: str, bands: Mapping[str, Band] = BANDS,
+def read_pieces(spark: SparkSession, path: str) -> Broadcast:
+    """The characters that a vocabulary of pieces has, from its file, sent to all executors.
+
+    A character that is no piece is spelt by the tokens of its bytes, whatever stands around it:
+    pieces grow from characters, and none grows from what is not there.
+    """
+    pieces = sentencepiece.SentencePieceProcessor(model_file=path)
+    one = {p for i in range(pieces.get_piece_size())
+           if len(p := pieces.id_to_piece(i)) == 1 and not (pieces.is_byte(i) or pieces.is_control(i))}
+    return spark.sparkContext.broadcast("".join(sorted(one)))
+
+
+def quality(docs: DataFrame, ranks: Broadcast, pattern: str, pieces: Broadcast, bands: Mapping[str, Band] = BANDS,
             language: str | None = None) -> DataFrame:
     """One row per row of (doc_id, text): the counts, the rates, ``script``, ``base_failed``, ``kept``.
 
@@ -71,6 +84,8 @@ def quality(docs: DataFrame, ranks: Broadcast, pattern: str, bands: Mapping[str,
     ``language``, a column's name, the band of its value is used where there is one,
     else that of the script; scripts without a band have that of "other". Below
     ``MIN_TOKENS`` tokens the band's least entropy is scaled by log2 of their number.
+    ``fallback_share`` is the share of bytes, white space left out, of characters that the vocabulary
+    of ``pieces`` (``read_pieces``) lacks.
 
     A NULL or empty text has all counts and rates 0, script "" and fails the base rules.
     Rows are judged one by one, so repeated ones are repeated; no rows give none. Other
@@ -81,13 +96,13 @@ def quality(docs: DataFrame, ranks: Broadcast, pattern: str, bands: Mapping[str,
               + ", ".join(f"{c} long" for c in _COUNTS) + ", " + ", ".join(f"{c} double" for c in _RATES)
               + ", script string, base_failed boolean, kept boolean")
     return (docs.select("doc_id", text_or_empty().alias("text"), lang.alias("lang"))
-            .mapInArrow(_judge(ranks, pattern, dict(bands)), schema))
+            .mapInArrow(_judge(ranks, pattern, pieces, dict(bands)), schema))
 
 
-def _judge(ranks: Broadcast, pattern: str, bands: dict[str, Band]) -> ArrowFunction:
+def _judge(ranks: Broadcast, pattern: str, pieces: Broadcast, bands: dict[str, Band]) -> ArrowFunction:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = codec(ranks.value, pattern)
-        broken = broken_tokens(encoding)
+        known = frozenset(pieces.value).union(WHITE_SPACE)
         for batch in batches:
             rows = []
             for raw, lang in zip(texts_of(batch), batch.column(2).to_pylist()):
@@ -95,7 +110,7 @@ def _judge(ranks: Broadcast, pattern: str, bands: dict[str, Band]) -> ArrowFunct
                 base = base_counts(text, raw)
                 script = main_script(text)
                 ids = np.array(encode_text(encoding, text), dtype=np.int64)
-                rates = fertility(len(text), ids, broken)
+                rates = fertility(text, ids, known)
                 failed = base_failed(base)
                 band = bands.get(lang) or bands.get(script) or bands["other"]
                 rows.append((*base, len(ids), *rates, script, failed, not failed and fits(band, len(ids), rates)))
@@ -165,24 +180,23 @@ def main_script(text: str) -> str:
     return "other" if letters else ""
 
 
-def broken_tokens(encoding) -> np.ndarray:
-    """Per id, whether its bytes are no whole characters: what a rare character falls back to."""
-    broken = np.zeros(encoding.n_vocab, bool)
-    for token in range(encoding.n_vocab):
-        try:
-            encoding.decode_single_token_bytes(token).decode()
-        except UnicodeDecodeError:
-            broken[token] = True
-    return broken
+def fallback_share(text: str, known: frozenset[str]) -> float:
+    """The share of a text's bytes that belong to characters not ``known``; white space counts for nothing."""
+    missing = set(text) - known
+    if not missing:
+        return 0.0
+    times = Counter(text)
+    blanks = sum(times[c] for c in WHITE_SPACE)
+    return sum(times[c] * len(c.encode()) for c in missing) / (len(text.encode()) - blanks)
 
 
-def fertility(n_chars: int, ids: np.ndarray, broken: np.ndarray) -> tuple[float, float, float]:
-    """Characters per token, share of broken tokens, entropy of the tokens in bits."""
+def fertility(text: str, ids: np.ndarray, known: frozenset[str]) -> tuple[float, float, float]:
+    """Characters per token, share that falls back to bytes, entropy of the tokens in bits."""
     if not len(ids):
         return 0.0, 0.0, 0.0
     counts = np.bincount(ids)
     share = counts[counts > 0] / len(ids)
-    return n_chars / len(ids), float(broken[ids].mean()), float(-(share * np.log2(share)).sum())
+    return len(text) / len(ids), fallback_share(text, known), float(-(share * np.log2(share)).sum())
 
 
 def fits(band: Band, n_tokens: int, rates: Sequence[float]) -> bool:
