@@ -4,9 +4,10 @@ Every record is a gzip member of its own. Each task writes files of its own name
 the commit of the job lists them, with the place of a record every so many bytes, in a
 manifest; what a lost or repeated task leaves behind is in no manifest and is not read.
 
-A reader plans ranges of files from the manifest. Of each record it parses the WARC
-header first and decodes the payload only where the record passes the filters on
-``record_type`` and on headers, and the payload is wanted.
+A reader plans ranges of files from the manifest, or whole files (``.warc``, ``.warc.gz``) where
+there is none, as in archives that others wrote. Of each record it parses the WARC header first
+and decodes the payload only where the record passes the filters on ``record_type`` and on
+headers, and the payload is wanted.
 """
 
 from __future__ import annotations
@@ -33,9 +34,11 @@ by_value(__name__)
 NAME = "warc"
 MANIFEST = "_MANIFEST.json"
 # A task starts a new file after so many bytes, and notes the place of a record every
-# so many; ranges between noted places are what a reader's tasks are made of.
+# so many; ranges between noted places are what a reader's tasks are made of. Of a file at
+# most so many places are noted, farther apart in a larger one: the driver lists them all.
 FILE_BYTES = 1 << 30
 RANGE_BYTES = 4 << 20
+FILE_RANGES = 16
 READ_BYTES = 1 << 20
 
 # Columns that are headers of a record, by the name of the header.
@@ -70,7 +73,13 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
 
     Equality filters on ``record_type`` and the other header columns are pushed down. With
     ``payload=False`` no payload is decoded and the column is NULL, as it is for records
-    without one. Headers that a record lacks are NULL.
+    with an empty block. Headers that a record lacks are NULL.
+
+    The payload is the body of an HTTP message, or else the whole block, whatever the type of the
+    record (``warcinfo``, ``metadata`` and others). A folder without a manifest may hold plain files
+    and gzip files, with a record or several in a member; each is read by one task. A record without
+    a length ends where its member does, or before the next record of a plain file. A file that ends
+    within a record fails.
     """
     register(spark)
     return spark.read.format(NAME).option("payload", str(payload)).load(path)
@@ -156,7 +165,7 @@ class WarcWriter(DataSourceArrowWriter):
         system, folder = open_folder(self.path)
         system.create_dir(folder, recursive=True)
         files: list[tuple[str, list[int]]] = []
-        out, size = None, 0
+        out, size, spacing = None, 0, RANGE_BYTES
         for batch in iterator:
             for row in batch.to_pylist():
                 if out is None or size >= FILE_BYTES:
@@ -166,8 +175,13 @@ class WarcWriter(DataSourceArrowWriter):
                     name = f"part-{uuid.uuid4().hex}.warc.gz"
                     files.append((name, [0]))
                     out, size = system.open_output_stream(f"{folder}/{name}", compression=None), 0
-                if size - files[-1][1][-1] >= RANGE_BYTES:
-                    files[-1][1].append(size)
+                    spacing = RANGE_BYTES
+                places = files[-1][1]
+                if size - places[-1] >= spacing:
+                    places.append(size)
+                    if len(places) > FILE_RANGES:
+                        del places[1::2]
+                        spacing *= 2
                 member = compressed(record_bytes(row))
                 out.write(member)
                 size += len(member)
@@ -234,8 +248,13 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> Sequence[Range]:
         system, folder = open_folder(self.path)
-        with system.open_input_stream(f"{folder}/{MANIFEST}", compression=None) as file:
-            listed = json.loads(file.read())
+        if system.get_file_info(f"{folder}/{MANIFEST}").type == fs.FileType.File:
+            with system.open_input_stream(f"{folder}/{MANIFEST}", compression=None) as file:
+                listed = json.loads(file.read())
+        else:
+            found = system.get_file_info(fs.FileSelector(folder, recursive=True))
+            listed = [(f.path.removeprefix(folder).lstrip("/"), [0, f.size]) for f in sorted(found, key=lambda f: f.path)
+                      if f.type == fs.FileType.File and f.size and f.path.endswith((".warc", ".warc.gz"))]
         return [Range(name, a, b) for name, places in listed for a, b in zip(places, places[1:])] or [Range("", 0, 0)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
@@ -263,23 +282,29 @@ class WarcReader(DataSourceReader):
             left = partition.end - partition.start
             ahead = b""
             while left > 0 or ahead:
-                member = Member(file, ahead, left)
-                headers = member.headers()
-                row = {c: headers.get(h.lower()) for c, h in HEADERS.items()}
-                passed = all(row[c] in values for c, values in self.wanted.items())
-                row["payload"] = None
-                if passed and self.payload and int(headers["content-length"]):
-                    block = member.take(int(headers["content-length"]))
-                    row["payload"] = block[block.index(b"\r\n\r\n") + 4:]
-                member.skip()
+                member = (Member if partition.name.endswith(".gz") else Plain)(file, ahead, left)
+                while member.has_record():
+                    headers = member.headers()
+                    row = {c: headers.get(h.lower()) for c, h in HEADERS.items()}
+                    passed = all(row[c] in values for c, values in self.wanted.items())
+                    length = headers.get("content-length")
+                    block = member.block(int(length) if length and length.isdecimal() else None, passed and self.payload)
+                    row["payload"] = payload_of(block, headers) if block else None
+                    if passed:
+                        yield row
                 ahead, left = member.ahead, member.left
-                if passed:
-                    yield row
+
+
+def payload_of(block: bytes, headers: dict[str, str]) -> bytes:
+    if headers.get("content-type", "").lower().startswith("application/http"):
+        head, found, body = block.partition(b"\r\n\r\n")
+        return body if found else block
+    return block
 
 
 class Member:
-    """One gzip member, inflated only as far as asked for; ``skip`` goes to its end in small
-    pieces without keeping or decoding what is in them."""
+    """One gzip member, inflated only as far as asked for. What is not wanted of it is passed in
+    small pieces without being kept or decoded."""
 
     PIECE = 1 << 16
 
@@ -288,7 +313,11 @@ class Member:
         self.inflate = zlib.decompressobj(31)
         self.found = bytearray()
 
-    def more(self) -> bytes:
+    def ended(self) -> bool:
+        return self.inflate.eof
+
+    def more(self) -> None:
+        """Some more of the member; nothing, if only its end was left."""
         if not self.ahead and self.left:
             self.ahead = self.file.read(min(self.PIECE, self.left))
             self.left -= len(self.ahead)
@@ -296,20 +325,68 @@ class Member:
         self.ahead = self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
         if not data and not self.ahead and not self.left and not self.inflate.eof:
             raise EOFError("a record ends early")
-        return data
+        self.found += data
+
+    def has_record(self) -> bool:
+        """Whether anything but line breaks is left; those are passed."""
+        while True:
+            kept = self.found.lstrip(b"\r\n")
+            del self.found[:len(self.found) - len(kept)]
+            if self.found or self.ended():
+                return bool(self.found)
+            self.more()
 
     def headers(self) -> dict[str, str]:
         while (end := self.found.find(b"\r\n\r\n")) < 0:
-            self.found += self.more()
-        lines = self.found[:end].decode().split("\r\n")[1:]
+            if self.ended():
+                raise EOFError("a record ends early")
+            self.more()
+        lines = self.found[:end].decode(errors="replace").split("\r\n")[1:]
         del self.found[:end + 4]
         return {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
 
-    def take(self, size: int) -> bytes:
-        while len(self.found) < size:
-            self.found += self.more()
-        return bytes(self.found[:size])
-
-    def skip(self) -> None:
-        while not self.inflate.eof:
+    def block(self, length: int | None, wanted: bool) -> bytes | None:
+        """The block of a record of some length, if it is wanted; passed otherwise."""
+        if length is None:
+            return self.rest(wanted)
+        if wanted:
+            while len(self.found) < length:
+                if self.ended():
+                    raise EOFError("a record ends early")
+                self.more()
+            block = bytes(self.found[:length])
+            del self.found[:length]
+            return block
+        while length > len(self.found):
+            if self.ended():
+                raise EOFError("a record ends early")
+            length -= len(self.found)
+            self.found.clear()
+            self.more()
+        del self.found[:length]
+        return None
+
+    def rest(self, wanted: bool) -> bytes | None:
+        """The block of a record without a length: up to the end, or to the next record."""
+        place = 0
+        while (end := self.found.find(b"\r\n\r\nWARC/", place)) < 0 and not self.ended():
+            place = max(0, len(self.found) - 8)
             self.more()
+        end = end if end >= 0 else len(self.found)
+        block = bytes(self.found[:end])
+        del self.found[:end]
+        return (block.removesuffix(b"\r\n\r\n") if wanted else None)
+
+
+class Plain(Member):
+    """A file that is not compressed, as if it were one member."""
+
+    def ended(self) -> bool:
+        return not self.left
+
+    def more(self) -> None:
+        piece = self.file.read(min(self.PIECE, self.left))
+        if not piece:
+            raise EOFError("a file ends early")
+        self.left -= len(piece)
+        self.found += piece
