@@ -157,3 +157,37 @@ def alignment(passage, item, match=2, mismatch=-1, gap=-1):
             row.append(max(0, above[j] + (match if w == v else mismatch), above[j + 1] + gap, row[j] + gap))
         best, above = max(best, *row), row
     return best
+
+
+def leaked(text, item):
+    """The score of the best alignment of an item in a text, as a share of its own; both as words."""
+    from tagshelf.llm import decontaminate as d
+    if not item or sum((Counter(text) & Counter(item)).values()) < d.THRESHOLD * len(item):
+        return 0.0
+    return d.align(text, item)[0] / (d.MATCH * len(item))
+
+
+def verdict(text):
+    """Whether the vocabularies leave a text alone: tokens by tiktoken, bytes spelt out by sentencepiece itself."""
+    import math
+    import sentencepiece
+    from tagshelf.llm import quality as q
+    if "pieces" not in _known:
+        _known["pieces"] = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+        with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+        _known["tokens"] = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ids = _known["tokens"].encode_ordinary(text or "")
+    if not ids:
+        return True
+    pieces = _known["pieces"]
+    # Line breaks and tabs are bytes to this vocabulary; here all white space counts for nothing.
+    solid = re.sub(r"[\x20\x09-\x0D]+", "", text)
+    spelt = sum(pieces.is_byte(i) for word in words(text) for i in pieces.encode(word))
+    counts = Counter(ids)
+    entropy = -sum(n / len(ids) * math.log2(n / len(ids)) for n in counts.values())
+    rates = len(text) / len(ids), spelt / max(1, len(solid.encode())), entropy
+    return q.fits(q.BANDS[q.main_script(text)], len(ids), rates)
+
+
+_known = {}

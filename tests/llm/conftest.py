@@ -45,3 +45,10 @@ def ranks(spark):
     import public_tokenizers
     from tagshelf.llm import bpe
     return bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@pytest.fixture(scope="session")
+def pieces(spark):
+    import public_tokenizers
+    from tagshelf.llm import quality
+    return quality.read_pieces(spark, public_tokenizers.path("piece_bpe_32k.model"))

@@ -67,13 +67,13 @@ def test_byte_dedup(edge_docs, no_docs):
     assert suffix_dedup.drop_repeated_bytes(no_docs).count() == 0
 
 
-def test_quality(edge_docs, no_docs, ranks):
-    found = quality.quality(edge_docs, ranks, PATTERN).collect()
+def test_quality(edge_docs, no_docs, ranks, pieces):
+    found = quality.quality(edge_docs, ranks, PATTERN, pieces).collect()
     got = Counter((r.doc_id, *(r[c] for c in quality._COUNTS[:5]), r.base_failed) for r in found)
     rows = [(d, t) for d, t in edge_rows(edge_docs) if d != 6]
     assert all(got[(d, *brute.quality(t))] for d, t in rows)
-    assert quality.quality(edge_docs, ranks, PATTERN, language="lang").count() == len(found)
-    assert quality.quality(no_docs, ranks, PATTERN).count() == 0
+    assert quality.quality(edge_docs, ranks, PATTERN, pieces, language="lang").count() == len(found)
+    assert quality.quality(no_docs, ranks, PATTERN, pieces).count() == 0
 
 
 def test_toxicity(spark, edge_docs, no_docs):
@@ -150,8 +150,63 @@ def test_warc(spark):
     assert warc.read_warc(spark, empty).count() == 0
 
 
+def _record(kind, block, *more, length=True):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:{kind}>", *more]
+    lines += [f"Content-Length: {len(block)}"] if length else []
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_others(spark, tmp_path):
+    import gzip
+    http = "Content-Type: application/http; msgtype=response"
+    page = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\nbody\r\n\r\nWARC/ of a page" + b"x" * 200_000
+    records = [(_record("warcinfo", b"software: x\r\n"), b"software: x\r\n"), (_record("response", page, http), page[page.index(b"body"):]),
+               (_record("metadata", b"no length", length=False), b"no length"), (_record("request", b"GET / HTTP/1.1", http), b"GET / HTTP/1.1"),
+               (_record("revisit", b"", http), None), (_record("conversion", "é".encode()), "é".encode())]
+    (tmp_path / "sub").mkdir()
+    whole = b"".join(r for r, _ in records)
+    (tmp_path / "plain.warc").write_bytes(whole)
+    (tmp_path / "members.warc.gz").write_bytes(b"".join(gzip.compress(r) for r, _ in records))
+    (tmp_path / "sub" / "one.warc.gz").write_bytes(gzip.compress(whole[:-4]))
+    (tmp_path / "other.txt").write_text("no archive")
+    (tmp_path / "empty.warc").write_bytes(b"")
+    got = Counter((r.record_type, None if r.payload is None else bytes(r.payload)) for r in warc.read_warc(spark, str(tmp_path)).collect())
+    kinds = ["warcinfo", "response", "metadata", "request", "revisit", "conversion"]
+    assert got == Counter({(k, p): 3 for k, (_, p) in zip(kinds, records)})
+    only = warc.read_warc(spark, str(tmp_path)).filter("record_type = 'conversion'")
+    assert [bytes(r.payload).decode() for r in only.collect()] == ["é"] * 3
+    assert warc.read_warc(spark, str(tmp_path), payload=False).count() == 18
+    (tmp_path / "short.warc").write_bytes(whole[:-20])
+    with pytest.raises(Exception, match="ends early"):
+        warc.read_warc(spark, str(tmp_path)).count()
+
+
+def test_a_large_file_has_a_bounded_number_of_ranges(spark, monkeypatch):
+    import json
+    monkeypatch.setattr(warc, "RANGE_BYTES", 100)
+    monkeypatch.setattr(warc, "FILE_RANGES", 4)
+    path = scratch_path(spark)
+    pages = spark.range(300).coalesce(1).selectExpr("id as page_id", "'u' as url", "sha2(cast(id as string), 512) as html")
+    warc.archive_pages(pages, path)
+    with open(path.removeprefix("file:") + "/" + warc.MANIFEST) as file:
+        assert all(len(places) <= 6 for _, places in json.load(file))
+    assert warc.read_warc(spark, path).select("record_id").distinct().count() == 300
+
+
 def test_small_equal_payloads_are_all_responses(spark):
     pages = spark.createDataFrame([(1, "a", "same"), (2, "b", "same")], "page_id long, url string, html string")
     path = scratch_path(spark)
     warc.archive_pages(pages, path, min_bytes=5)
     assert warc.read_warc(spark, path).filter("record_type = 'response'").count() == 2
+
+
+def test_line_dedup_of_a_text_with_very_many_lines(spark):
+    """Linear in the lines: half of 200,000 lines go, in seconds."""
+    import time
+    long_text = "\n".join(f"line number {i} of a very long text" if i % 2 else f"x{i}" for i in range(200_000))
+    docs = spark.createDataFrame([(i, long_text) for i in range(3)], "doc_id long, text string")
+    begun = time.time()
+    kept = {r.doc_id: r for r in line_dedup.drop_repeated_lines(docs).collect()}
+    assert time.time() - begun < 60
+    assert [kept[i].n_dropped for i in range(3)] == [100_000, 100_000, 0] and kept[2].text == long_text
+    assert kept[0].text == "\n".join(f"x{i}" for i in range(0, 200_000, 2))

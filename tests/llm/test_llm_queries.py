@@ -35,11 +35,13 @@ def test_op2(spark, sf, documents):
     assert got == brute.bpe(documents)
 
 
-def test_op3_finds_copied_items_and_little_else(spark, sf, documents):
-    items = {r.item_id: r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
-    copied = {(d, i) for d, t in documents.items() for i, item in items.items() if item in (t or "")}
-    found = {(r.doc_id, r.item_id) for r in llm.queries()["op3_decontaminate"](spark, sf).collect()}
-    assert copied <= found and len(found - copied) <= 1 + len(copied) // 5
+def test_op3_finds_every_pair_that_reaches_the_threshold(spark, sf, documents):
+    from tagshelf.llm import decontaminate as d
+    items = {r.item_id: d.words_of(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    texts = {i: d.words_of(t or "") for i, t in documents.items()}
+    want = {(i, j): s for i, t in texts.items() for j, item in items.items() if (s := brute.leaked(t, item)) >= d.THRESHOLD}
+    found = {(r.doc_id, r.item_id): r.score for r in llm.queries()["op3_decontaminate"](spark, sf).collect()}
+    assert found == want and want
 
 
 def test_op4(spark, sf):
@@ -70,6 +72,20 @@ def test_op6_on_held_out_documents(spark, sf):
     assert sum(r.predicted for r in clean) <= len(clean) // 20
 
 
+def test_op6_goes_by_the_grammar(spark, sf):
+    """Whatever was learned, an aimed insult counts no less than a plain one, and that more than a negated or
+    reported one; a threat counts, though no label tells of any."""
+    from tagshelf.llm import toxicity
+    model = toxicity.learn(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    model = model._replace(lexicon={**model.lexicon, "blockhead": 3.0})
+    texts = {"aimed": "you are a blockhead", "plain": "what a blockhead", "negated": "never a blockhead",
+             "reported": "it said blockhead", "none": "what a day", "threat": "to kill", "aimed threat": "they kill"}
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts.values())], "doc_id long, text string")
+    got = dict(zip(texts, (r.score for r in toxicity.score(table, model).orderBy("doc_id").collect())))
+    assert got["aimed"] >= got["plain"] > max(got["negated"], got["reported"]) >= got["none"]
+    assert got["aimed threat"] > got["threat"] > got["none"]
+
+
 def test_op8(spark, sf, documents):
     assert rows(spark, sf, "op8_suffix_array", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") \
         == brute.suffixes(documents)
@@ -79,7 +95,7 @@ def test_op9(spark, sf, documents):
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     got = rows(spark, sf, "op9_quality", "doc_id", *columns, "kept")
     assert {d: r[:-1] for d, r in got.items()} == {d: brute.quality(t) for d, t in documents.items()}
-    assert not any(r[-1] for r in got.values() if r[-2])
+    assert {d: r[-1] for d, r in got.items()} == {d: not got[d][-2] and brute.verdict(t) for d, t in documents.items()}
 
 
 def test_pipeline(spark, sf, documents):
@@ -92,13 +108,9 @@ def test_pipeline(spark, sf, documents):
     left = {i: r[2] for i, r in brute.lines({i: t for i, t in documents.items() if i not in toxic}).items()}
     left = {i: left[i] for i, r in brute.simhash(left).items() if r[1] == i}
     items = [d.words_of(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
-    grams = [set(d.gram_hashes(item).tolist()) for item in items]
 
     def leaks(text):
-        found = d.words_of(text)
-        own = set(d.gram_hashes(found).tolist())
-        return any(len(own & g) >= 2 and d.align(found, item)[0] >= d.THRESHOLD * 2 * len(item)
-                   for item, g in zip(items, grams))
+        return any(brute.leaked(d.words_of(text), item) >= d.THRESHOLD for item in items)
     want = brute.bpe({i: t for i, t in left.items() if not leaks(t)})
     got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, sf).collect()}
     assert got == want

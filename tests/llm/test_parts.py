@@ -155,6 +155,57 @@ def test_only_passages_below_the_threshold_are_not_aligned(passage, item, thresh
         assert parts[0] <= whole[0]
 
 
+def _edits(words, kind, share, rng):
+    if kind == "random":
+        return [f"new{rng.random()}" if rng.random() < share else w for w in words]
+    step = max(2, round(1 / share))
+    if kind == "periodic":
+        return [f"new{i}" if i % step == step - 1 else w for i, w in enumerate(words)]
+    if kind == "insertion":
+        return [x for i, w in enumerate(words) for x in ([w, f"new{i}"] if i % step == step - 1 else [w])]
+    return [w for i, w in enumerate(words) if i % step != step - 1]
+
+
+@pytest.mark.parametrize("kind", ["random", "periodic", "insertion", "deletion"])
+def test_all_edited_copies_that_reach_the_threshold_are_found(spark, sf, kind):
+    """Recall is 1 whatever the edit: what the filters let through is compared with all pairs."""
+    rng = random.Random(kind)
+    items = {r.item_id: decontaminate.words_of(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    noise = [w for item in items.values() for w in item]
+    docs, want = {}, set()
+    for share in (0.1, 0.2, 0.34, 0.5):
+        for i, words in items.items():
+            around = [" ".join(rng.choices(noise, k=rng.randrange(40))) for _ in range(2)]
+            docs[len(docs)] = f"{around[0]} {' '.join(_edits(words, kind, share, rng))} {around[1]}"
+    for d, text in docs.items():
+        want |= {(d, i) for i, item in items.items() if brute.leaked(decontaminate.words_of(text), item) >= decontaminate.THRESHOLD}
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = decontaminate.leaks(table, spark.read.parquet(f"{sf}/benchmark.parquet")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    assert len({d for d, _ in want}) >= 0.4 * len(docs)
+
+
+@given(PASSAGE, st.lists(st.sampled_from("abcde"), min_size=1, max_size=15))
+@settings(deadline=None, max_examples=200)
+def test_the_longest_common_subsequence(passage, item):
+    best = [0] * (len(item) + 1)
+    for w in passage:
+        best = [0] + [max(best[j + 1], best[j] + 1 if w == v else 0) for j, v in enumerate(item)]
+        for j in range(len(item)):
+            best[j + 1] = max(best[j + 1], best[j])
+    assert decontaminate.matched_in_order(passage, decontaminate.places_of(item), len(item)) == best[-1]
+
+
+@pytest.mark.parametrize("block", [1, 60])
+def test_items_in_several_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "ITEM_CHARS", block)
+    texts = {i: " ".join(f"w{i}x{k}" for k in range(20)) for i in range(6)}
+    table = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"a b {t} c") for i, t in texts.items()], "doc_id long, text string")
+    found = decontaminate.leaks(docs, table).collect()
+    assert {(r.doc_id, r.item_id, r.score, r.start, r.end) for r in found} == {(i, i, 1.0, 2, 22) for i in texts}
+
+
 @pytest.mark.parametrize("copies", [1, 2, 40])
 def test_edited_passages_are_found_however_many_documents_have_them(spark, copies):
     words = [f"w{i}" for i in range(40)]
@@ -220,6 +271,21 @@ def test_script_is_told_by_all_letters():
     assert quality.main_script(("." * 3 + "\u0436") * 4096) == "Cyrillic"
 
 
+def test_what_a_vocabulary_spells_in_bytes(pieces):
+    import public_tokenizers
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    known = frozenset(pieces.value).union(" \t\n\x0b\x0c\r")
+    rng = random.Random(5)
+    pool = "abcXYZ09éüßяж漢字仮名ひらがなहिन्दी한글עבריתعربي😀𝔘\u200d€–„“"
+    for _ in range(300):
+        word = "".join(rng.choice(pool) for _ in range(rng.randint(1, 12)))
+        spelt = sum(map(model.is_byte, model.encode(word)))
+        assert quality.fallback_share(word, known) == spelt / len(word.encode()), word
+    assert quality.fallback_share(" \n", known) == 0 and quality.fallback_share("", known) == 0
+
+
+
 def test_short_texts_are_judged_by_the_vocabulary():
     band = quality.BANDS["Latin"]
     assert not quality.fits(band, 40, (1.2, 0.0, 5.0))
