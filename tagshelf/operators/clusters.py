@@ -38,8 +38,8 @@ SAMPLE_ROWS = 200_000
 ZERO_CLUSTER = -1
 # What the rounding of angles can add to a similarity.
 ANGLE_ERROR = 1e-7
-# Pairs of a query and a cluster judged in one pass.
-PAIRS = 1 << 26
+# Pairs of a query and a cluster judged in one pass; the driver holds a few numbers for each.
+PAIRS = 1 << 23
 
 
 def cluster_products(products: DataFrame, clusters: int | None = None, *, seed: int = 42,
