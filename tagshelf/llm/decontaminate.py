@@ -35,9 +35,9 @@ WHOLE = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 # The share of an item's best possible score from which a passage counts as a copy.
 THRESHOLD = 0.5
-# Characters of the items that documents are compared with in one pass; what is broadcast
-# grows with that.
-ITEM_CHARS = 8 << 20
+# Characters of the items that documents are compared with in one pass; what is broadcast, and
+# held by each task (about 30 bytes a character), grows with that.
+ITEM_CHARS = 4 << 20
 # Words of documents looked at together.
 GROUP_WORDS = 1 << 16
 # Alignments a task keeps at hand, for passages that stand in many documents.
