@@ -57,12 +57,13 @@ NO_ID = -(2 ** 63)
 
 class Alphabet(NamedTuple):
     """How texts become symbols; ``hashes`` gives a 64-bit hash of each symbol of a text,
-    ``piece`` the bytes of the symbols from one place to another."""
+    ``piece`` the bytes of the symbols from one place to another; ``block`` is how many are handled at once."""
 
     length: int
     gram: int
     hashes: Callable[[bytes], np.ndarray]
     piece: Callable[[bytes, Sequence[tuple[int, int]]], list[bytes]]
+    block: int = BLOCK
 
 
 class Spans(NamedTuple):
@@ -273,7 +274,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _UP, _DOWN = _powers(0)
 
 
-def blocks(hashes: Iterator[np.ndarray], length: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
+def blocks(hashes: Iterator[np.ndarray], length: int, most: int = BLOCK) -> Iterator[list[tuple[int, int, np.ndarray]]]:
     """Documents in blocks of pieces (number of the document, place in it, symbols)."""
     block, size = [], 0
     for owner, symbols in enumerate(hashes):
@@ -283,7 +284,7 @@ def blocks(hashes: Iterator[np.ndarray], length: int) -> Iterator[list[tuple[int
                 continue
             block.append((owner, start, piece))
             size += len(piece)
-            if size >= BLOCK:
+            if size >= most:
                 yield block
                 block, size = [], 0
     if block:
@@ -341,7 +342,7 @@ def _scanner(alphabet: Alphabet) -> ArrowFunction:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs = batch.column(0).to_numpy()
-            for block in blocks(map(alphabet.hashes, texts_of(batch)), alphabet.length):
+            for block in blocks(map(alphabet.hashes, texts_of(batch)), alphabet.length, alphabet.block):
                 r = runs_of(block, alphabet.length, alphabet.gram)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r.key.view(np.int64)), pa.array(docs[r.owner]), pa.array(r.pos.astype(np.int32))],
@@ -404,7 +405,7 @@ def _chooser(alphabet: Alphabet) -> ArrowFunction:
             docs, rows, wanted = batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(4)
             flat, at = wanted.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy())
             pairs = np.sort(at << 32 | flat.astype(np.int64))
-            for block in blocks(map(alphabet.hashes, unpacked(batch)), alphabet.length):
+            for block in blocks(map(alphabet.hashes, unpacked(batch)), alphabet.length, alphabet.block):
                 r = runs_of(block, alphabet.length, alphabet.gram)
                 mine = r.owner << 32 | r.pos
                 found = np.minimum(np.searchsorted(pairs, mine), max(0, len(pairs) - 1))

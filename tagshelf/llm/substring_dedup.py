@@ -25,6 +25,8 @@ by_value(__name__)
 
 # Words of an anchor.
 GRAM = 4
+# Words handled at once: a word takes more memory than a byte does.
+BLOCK = 1 << 16
 
 
 def drop_repeated_words(docs: DataFrame, window: int = 13) -> DataFrame:
@@ -43,7 +45,7 @@ def drop_repeated_words(docs: DataFrame, window: int = 13) -> DataFrame:
     rows = rows_of(docs)
     shuffled = packed(rows)
     gone = repeated_windows(
-        rows, shuffled, Alphabet(window, GRAM, word_hashes, word_pieces), _grown(window),
+        rows, shuffled, Alphabet(window, GRAM, word_hashes, word_pieces, BLOCK), _grown(window),
         whole=(F.col("n") > 1) & (F.col("doc") > F.col("least")),
         worth=(F.sum("n") > 1) & (F.min("first.doc") < F.max("first.doc")))
     schema = ("doc_id " + docs.schema["doc_id"].dataType.simpleString()
