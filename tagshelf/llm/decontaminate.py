@@ -153,8 +153,11 @@ def index_of(items: Sequence[tuple[object, list[str]]], frequency: Counter[str],
 
 
 def _indexes(items: DataFrame, threshold: float) -> Iterator[Broadcast]:
-    """The items in blocks. Words are as rare as they are among the items of their block: which of
-    them are seeds decides what is looked at and not what is found."""
+    """The items in blocks, each an ``Index`` as a plain tuple: what is broadcast is read by name.
+
+    Words are as rare as they are among the items of their block: which of them are seeds decides
+    what is looked at and not what is found.
+    """
     sent = items.sparkSession.sparkContext.broadcast
     block, chars = [], 0
     rows = items.select("item_id", text_or_empty().alias("text")).toLocalIterator()
@@ -164,10 +167,10 @@ def _indexes(items: DataFrame, threshold: float) -> Iterator[Broadcast]:
             block.append((row["item_id"], words))
             chars += len(row["text"])
         if chars >= ITEM_CHARS:
-            yield sent(index_of(block, _frequencies(block), threshold))
+            yield sent(tuple(index_of(block, _frequencies(block), threshold)))
             block, chars = [], 0
     if block:
-        yield sent(index_of(block, _frequencies(block), threshold))
+        yield sent(tuple(index_of(block, _frequencies(block), threshold)))
 
 
 def _frequencies(items: Sequence[tuple[object, list[str]]]) -> Counter[str]:
@@ -244,7 +247,7 @@ def _groups(texts: Iterator[bytes]) -> Iterator[tuple[int, list[list[str]]]]:
 
 def _finder(sent: Broadcast, threshold: float, kind: pa.DataType) -> ArrowFunction:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: Index = sent.value
+        index = Index(*sent.value)
         least = [least_matches(len(words), threshold) for words in index.words]
         known: dict[tuple[int, str], tuple[int, int, int]] = {}
         for batch in batches:
