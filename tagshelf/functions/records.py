@@ -16,8 +16,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ArrowFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-# Records handed on at a time, where lines have to be looked at one by one.
-BATCH_RECORDS = 10_000
+# Bytes of lines looked at, and characters of records handed on, at a time: what a task holds
+# beside the Arrow batch it was given, whatever the number of lines in that.
+PIECE_BYTES = 1024 * 1024
 
 
 class UnclosedQuoteError(ValueError):
@@ -78,7 +79,18 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             file, start = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
             cuts = np.flatnonzero((file[1:] != file[:-1]) | (start[1:] != start[:-1])) + 1
             for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-                yield batch.slice(a, b - a)
+                yield from _pieces(batch.slice(a, b - a))
+
+
+def _pieces(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in turn, as many at a time as hold ``PIECE_BYTES`` of lines, or one that is longer."""
+    behind = np.cumsum(pc.binary_length(rows.column(0)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = 0
+    while a < rows.num_rows:
+        before = behind[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(behind, before + PIECE_BYTES, "right")))
+        yield rows.slice(a, b - a)
+        a = b
 
 
 def _key(rows: pa.RecordBatch) -> tuple[int, int]:
@@ -141,7 +153,7 @@ def range_records(quoting: Quoting, header: bool, most: int) -> ArrowFunction:
                 continue
             for line in lines.to_pylist():
                 state.add(line, quoting, out)
-            if len(out) >= BATCH_RECORDS:
+            if out.chars >= PIECE_BYTES:
                 yield out.batch()
         if state is not None:
             state.close(out)
@@ -162,12 +174,17 @@ class _Records:
 
     def __init__(self):
         self.rows: list[tuple] = []
+        self.chars = 0
 
     def __len__(self) -> int:
         return len(self.rows)
 
+    def add(self, record: str, *place: object) -> None:
+        self.rows.append((record, *place) if place else (record, None, None, None, None))
+        self.chars += len(record) + 1
+
     def batch(self) -> pa.RecordBatch:
-        rows, self.rows = self.rows, []
+        rows, self.rows, self.chars = self.rows, [], 0
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(self.KINDS)],
                                           [name for name, _ in self.KINDS])
 
@@ -197,7 +214,7 @@ class _Range:
             if self.first:
                 self.first = not line.strip()      # blank lines before it are no header
             else:
-                out.rows.append((line, None, None, None, None))
+                out.add(line)
             return
         self.pending = self.pending or []
         self.pending.append(line)
@@ -212,12 +229,12 @@ class _Range:
     def _end(self, out: _Records, fragment: bool) -> None:
         record = "\n".join(self.pending)
         if fragment:
-            out.rows.append((record, self.key[0], self.owner, self.key[1], self.first))
+            out.add(record, self.key[0], self.owner, self.key[1], self.first)
             self.first = False
         elif self.first:
             self.first = False
         else:
-            out.rows.append((record, None, None, None, None))
+            out.add(record)
         self.pending, self.size, self.owner = None, 0, self.key[1]
 
     def close(self, out: _Records) -> None:

@@ -1,14 +1,16 @@
 """Text with line breaks in fields, read by many tasks: the same rows as Spark's reader of whole files."""
 
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tagshelf import sources
-from tagshelf.functions.records import Quoting, UnclosedQuoteError
+from tagshelf.functions.records import Quoting, UnclosedQuoteError, range_records, range_states
 
 
 @pytest.fixture
@@ -92,6 +94,32 @@ def test_a_quote_that_is_not_closed(spark, tmp_path):
         sources.read_records(spark, str(tmp_path), ",", record_chars=100).count()
 
 
+@pytest.mark.parametrize("last", ['y"', "y"])
+def test_a_task_looks_at_a_part_of_a_batch_at_a_time(last):
+    """What a task holds beside the batch it was given does not grow with that: 16 MB of lines here."""
+    lines = pa.array(["h"] + ['1,"' + "x" * 4_000, last.rjust(4_000)] * 2_000 + ['"'])
+    kinds = {"file": pa.int64(), "start": pa.int64(), "inside": pa.bool_(), "owner": pa.int64()}
+    values = (0, 0, False, None)
+    batch = pa.RecordBatch.from_arrays([lines, *[pa.array([v] * len(lines), k) for v, k in zip(values, kinds.values())]],
+                                       ["value", *kinds])
+    quoting, text = Quoting(",", '"', '"'), "\n".join(lines.to_pylist()[1:])
+    tracemalloc.start()
+    try:
+        list(range_states(quoting)(iter([batch])))
+        assert tracemalloc.get_traced_memory()[1] < 6e6
+        if last == 'y"':
+            read, most = 0, 0
+            for out in range_records(quoting, True, 64 << 20)(iter([batch])):
+                read, most = read + out.num_rows, max(most, out.nbytes)
+            assert tracemalloc.get_traced_memory()[1] < 8e6
+            assert read == 2_001 and most < 4e6
+    finally:
+        tracemalloc.stop()
+    if last == "y":      # one quoted field over all lines: whole, as long as it may be
+        whole = [r for out in range_records(quoting, True, 64 << 20)(iter([batch])) for r in out.column(0).to_pylist()]
+        assert "\n".join(whole) == text
+
+
 @settings(max_examples=300)
 @given(st.text(alphabet='",ab \n', max_size=40), st.booleans())
 def test_the_state_after_a_line_is_that_of_its_parts(text, inside):
