@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ..functions.spans import without_overlaps
+from ..functions.spans import phrase_counts, phrase_levels, without_overlaps
 from ..functions.tags import elements
 from ..functions.words import strip, text_words
 from ..sources.scratch import materialize
-from .lookup import lookup_join
+from ..sources.sizes import row_bytes
+from .lookup import BROADCAST_BYTES, lookup_join
+
+# Entries are sent to the tasks up to this many bytes of their rows.
+SENT_BYTES = 16 * 1024 * 1024
 
 
 def split_ingredients(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -58,22 +62,36 @@ def match_vocabulary(texts: DataFrame, vocab: DataFrame, keys: list[str],
     begins first is taken, of those that begin at one place the longest; the next one begins
     behind it. So in "olive oil" an entry "olive" is not found beside "olive oil".
 
-    A place in a text is kept if its word begins an entry, with no more of the words that follow
-    than the longest entry has, then compared with the entries of each length there is for that
-    word. Only what matches is shuffled: by text for the overlaps, by entry for the counts. With
-    a vocabulary of single words there are none.
+    A vocabulary with entries of several words is sent to the tasks up to ``SENT_BYTES``; each text
+    is then read within one task, and only its counts are shuffled. Of a larger one, a place in a
+    text is kept if its word begins an entry, with no more of the words that follow than the longest
+    entry has, then compared with the entries of each length there is for that word. Only what matches
+    is shuffled: by text for the overlaps, by entry for the counts. With a vocabulary of single words
+    there are none.
     """
     entries = materialize(vocabulary_entries(vocab))
     longest = entries.agg(F.max("n_words")).first()[0] or 1
     if longest == 1:
         words = texts.select(*keys, F.explode(text_words(text)).alias("word"))
         known = lookup_join(words, entries.select("word"), "word", "left_semi", stored=True, **join_options)
+    elif row_bytes(entries) <= min(SENT_BYTES, join_options.get("broadcast_bytes", BROADCAST_BYTES)):
+        return _counted(texts, entries, keys, text)
     else:
         found = _phrases(texts, entries, keys, text, longest, join_options)
         known = _taken(found, keys)
     return known.groupBy(*keys, "word").count()
 
 
+def _counted(texts: DataFrame, entries: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, word, count) with the entries sent to the tasks."""
+    listed = entries.select("word").toArrow().column(0).combine_chunks()
+    sent = texts.sparkSession.sparkContext.broadcast(phrase_levels(listed))
+    worded = texts.select(text_words(text).alias("_words"), *keys).filter(F.size("_words") > 0)
+    schema = StructType([*[worded.schema[k] for k in keys], entries.schema["word"], StructField("count", LongType())])
+    counts = worded.mapInArrow(phrase_counts(sent, schema.names), schema)
+    return counts.groupBy(*keys, "word").agg(F.sum("count").alias("count"))
+
+
 def _phrases(texts: DataFrame, entries: DataFrame, keys: list[str], text: str, longest: int,
              join_options: dict[str, int]) -> DataFrame:
     """(keys, _text, _place, _length, word) of every entry at every place it stands at."""

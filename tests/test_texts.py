@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from tagshelf.functions import spans
 from tagshelf.operators import texts
 
 
@@ -56,3 +57,24 @@ def test_random_texts(spark, shuffled_joins, seed, options):
 
 def test_empty_tables(spark):
     assert not matched(spark, [], ["a b"]) and not matched(spark, [(1, "a b")], [])
+
+
+def test_places_of_a_small_vocabulary_are_not_shuffled(spark):
+    """A text is read within one task; only its counts go to others, whose rows do not grow with the places."""
+    frame = spark.createDataFrame([(1, "a b " * 500)] * 2 + [(2, "c a")], "id int, text string").repartition(1)
+    entries = spark.createDataFrame([("a b",), ("a",), ("b a b",)], "word string")
+    got = texts.match_vocabulary(frame, entries, ["id"])
+    assert sorted(map(tuple, got.collect())) == [(1, "a b", 1000), (2, "a", 1)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_place" not in plan and "_ahead" not in plan
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_texts_in_tiles(spark, monkeypatch, seed):
+    """Batches cut within and between texts that are longer and shorter than a tile."""
+    monkeypatch.setattr(spans, "TILE_WORDS", 5)
+    draw = random.Random(seed)
+    phrase = lambda n: " ".join(draw.choice("abcd") for _ in range(n))
+    vocab = [phrase(draw.randrange(1, 5)) for _ in range(15)] + ["a b c d x"]
+    rows = [(i // 2, phrase(draw.randrange(12))) for i in range(60)]
+    assert matched(spark, rows, vocab) == brute(rows, vocab)
