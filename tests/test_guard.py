@@ -1,5 +1,6 @@
 """The core queries without the training-data operators, in whatever way these are absent."""
 
+import os
 import shutil
 import subprocess
 import sys
@@ -42,3 +43,13 @@ def test_without_the_folder(copy, left):
 def test_without_a_library(copy, library):
     every, core, covered = counted(copy, f"import sys; sys.modules['{library}'] = None; ")
     assert every == core and covered == "True"
+
+
+def test_without_the_pipeline_but_another_on_the_path(copy, tmp_path, monkeypatch):
+    other = tmp_path / "other"
+    other.mkdir()
+    (copy / "corpus_pipeline.py").unlink(missing_ok=True)
+    (other / "corpus_pipeline.py").write_text("ORACLE_SQL = None\n\n\ndef run(spark, sf_dir):\n    return None\n")
+    monkeypatch.setenv("PYTHONPATH", str(other), prepend=os.pathsep)
+    every, core, covered = counted(copy)
+    assert every == core and covered == "True"
